@@ -16,7 +16,7 @@ from leafmill.functions.core import let, literal_map, tail
 # References that stand for mark-up characters and stay until text is cut out.
 MARKUP = {"&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'"}
 # The other references that pages use most.
-FREQUENT = {"&nbsp;": "\u00a0", "&copy;": "\u00a9", "&middot;": "\u00b7", "&#39;": "\'"}
+FREQUENT = {"&nbsp;": "\u00a0", "&copy;": "\u00a9", "&middot;": "\u00b7", "&#39;": "'"}
 
 _OTHER = r"&(?!(?:lt|gt|quot|apos|amp);)[#A-Za-z]"
 
