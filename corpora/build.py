@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpora.pack import member, packed, xml_escape
-from leafmill.sources.files import files_from_table
+from leafmill.sources.files import files_from_table, spread
 
 DOCS_PER_ARCHIVE = 50
 DOCS_PER_CSV = 20
@@ -23,7 +23,7 @@ SUFFIXES = ["txt", "md", "json", "yaml", "yml", "toml", "ini", "cfg", "log", "xm
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def text_of(value: Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from leafmill.functions.core import let
 from leafmill.options import TEXT_SNIFF_BYTES
 
 # Leading bytes (hexadecimal) and the type they stand for, in test order.
@@ -109,16 +110,22 @@ def is_text(content: Column) -> Column:
 
 def detect_type(content: Column, name: Column) -> Column:
     """STRUCT<type, ext, confidence>: signature, then suffix, then text sniff, then unknown."""
-    ext = extension(name)
-    sure = zip_refine(magic_type(content), ext)
-    mapped = ext_type(ext)
-
     def found(kind: Column, suffix: Column, confidence: str) -> Column:
         return F.struct(kind.alias("type"), suffix.alias("ext"), F.lit(confidence).alias("confidence"))
 
-    return (
-        F.when(sure.isNotNull(), found(sure, sure, "high"))
-        .when((mapped != "") & (mapped != "zip"), found(mapped, ext, "medium"))
-        .when(is_text(content), found(F.lit("text"), F.lit("txt"), "medium"))
-        .otherwise(found(F.lit("unknown"), ext, "low"))
-    )
+    def by_evidence(e: Column) -> Column:
+        return (
+            F.when(e["sure"].isNotNull(), found(e["sure"], e["sure"], "high"))
+            .when((e["mapped"] != "") & (e["mapped"] != "zip"), found(e["mapped"], e["ext"], "medium"))
+            .when(is_text(content), found(F.lit("text"), F.lit("txt"), "medium"))
+            .otherwise(found(F.lit("unknown"), e["ext"], "low"))
+        )
+
+    def evidence(ext: Column) -> Column:
+        return F.struct(
+            ext.alias("ext"),
+            ext_type(ext).alias("mapped"),
+            let(magic_type(content), lambda magic: zip_refine(magic, ext)).alias("sure"),
+        )
+
+    return let(let(extension(name), evidence), by_evidence)

@@ -6,6 +6,8 @@ Each builder turns the decoded text or the members of a file into a STRUCT of
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,13 +19,20 @@ from leafmill.options import ParseOptions
 from leafmill.schema import DOCUMENT_FIELDS, NOTE, PLAIN, STATUS
 
 
+@lru_cache(maxsize=None)
+def _null_field(name: str) -> Column:
+    return F.expr(f"CAST(NULL AS {DOCUMENT_FIELDS[name]})").alias(name)
+
+
 def document(kind: Column | str, text: Column, mode: str = NOTE, **fields: Column | str | None) -> Column:
     """A document struct; fields that are not given are null."""
     given = {"type": kind, "mode": mode, "text": text, **fields}
 
     def value(name: str, spark_type: str) -> Column:
         v = given.get(name)
-        return (v if isinstance(v, Column) else F.lit(v)).cast(spark_type).alias(name)
+        if v is None:
+            return _null_field(name)
+        return (v.cast(spark_type) if isinstance(v, Column) else F.lit(v)).alias(name)
 
     return F.struct(*[value(n, t) for n, t in DOCUMENT_FIELDS.items()])
 

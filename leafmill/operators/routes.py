@@ -49,7 +49,9 @@ def sheet_documents(files: DataFrame, delimiter: str = ",", opts: ParseOptions =
 
 def container_documents(files: DataFrame, kind: str, opts: ParseOptions = ParseOptions()) -> DataFrame:
     """Archives, decks, word documents, workbooks or e-books, all of the given type."""
-    return envelope(corpus.extract(files.withColumns({"type": F.lit(kind), "ext": F.lit(kind)}), opts), opts)
+    found = corpus.with_members(files.withColumn("type", F.lit(kind)), opts)
+    doc = corpus.container_document((kind,), F.lit(kind), F.col("members"), opts)
+    return _job(found, F.when(F.col("file_size") == 0, D.empty_document()).otherwise(doc), opts)
 
 
 def notices(detected: DataFrame, opts: ParseOptions = ParseOptions()) -> DataFrame:

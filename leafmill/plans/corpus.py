@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leafmill import options as O
+from leafmill.functions import office
+from leafmill.functions.core import let
 from leafmill.functions.detect import detect_type, file_name
 from leafmill.functions.text import decode_text
-from leafmill.functions.core import let
 from leafmill.operators import documents as D
 from leafmill.operators.envelope import envelope
 from leafmill.options import ParseOptions
@@ -70,40 +73,63 @@ def _text_document(kind: Column, raw: Column, opts: ParseOptions) -> Column:
     )
 
 
-def _container_document(kind: Column, members: Column, opts: ParseOptions) -> Column:
+# Types that one reader serves.
+CONTAINER_FAMILIES = [("zip",), ("tar",), ("pptx", "ppt"), ("docx",), ("xlsx",), ("epub",)]
+
+
+def container_document(family: tuple[str, ...], kind: Column, members: Column, opts: ParseOptions) -> Column:
+    """The document of a container of the given family; an error document when it cannot be read."""
     name, size = F.col("file_name"), F.col("file_size")
     failure = F.get(members, F.lit(0))["error"]
+    out = F.when(failure.isNotNull(), D.error_document(kind, failure))
 
-    def lacks(part: str) -> Column:
-        return ~F.exists(members, lambda m: m["name"] == part)
+    def needs(part: str, message: str, build: Column) -> Column:
+        lacking = ~F.exists(members, lambda m: m["name"] == part)
+        return out.when(lacking, D.error_document(kind, F.lit(message))).otherwise(build)
 
-    return (
-        F.when(failure.isNotNull(), D.error_document(kind, failure))
-        .when(kind == "zip", D.listing_document("zip", members, name, size, opts))
-        .when(kind == "tar", D.listing_document("tar", members, name, size, opts))
-        .when(kind.isin("pptx", "ppt"), D.deck_document(members, opts))
-        .when(kind == "epub", D.epub_document(members, opts))
-        .when((kind == "docx") & lacks(D.WORD_PART), D.error_document(kind, F.lit(NO_WORD_PART)))
-        .when(kind == "docx", D.word_document(members, opts))
-        .when(lacks("xl/workbook.xml"), D.error_document(kind, F.lit(NO_WORKBOOK_PART)))
-        .otherwise(D.workbook_document(members, name, opts))
-    )
+    reader = family[0]
+    if reader in ("zip", "tar"):
+        return out.otherwise(D.listing_document(reader, members, name, size, opts))
+    if reader == "pptx":
+        return out.otherwise(D.deck_document(members, opts))
+    if reader == "epub":
+        return out.otherwise(D.epub_document(members, opts))
+    if reader == "docx":
+        return needs(D.WORD_PART, NO_WORD_PART, D.word_document(members, opts))
+    return needs(office.WORKBOOK_PART, NO_WORKBOOK_PART, D.workbook_document(members, name, opts))
 
 
-def extract(detected: DataFrame, opts: ParseOptions) -> DataFrame:
-    """path, file_name, file_size and the ``doc`` struct of every file."""
+def _any_container_document(kind: Column, members: Column, opts: ParseOptions) -> Column:
+    out = F
+    for family in CONTAINER_FAMILIES:
+        out = out.when(kind.isin(*family), container_document(family, kind, members, opts))
+    return out
+
+
+@lru_cache(maxsize=16)
+def corpus_document(opts: ParseOptions) -> Column:
+    """The document of a detected file of any type, over type, ext, content, members and the file columns.
+
+    Built once per set of options: the expression is large and names no particular table.
+    """
     kind, size = F.col("type"), F.col("file_size")
-    doc = (
+    return (
         F.when(size == 0, D.empty_document())
         .when(
             kind.isin(TEXT_TYPES),
             let(decode_text(F.col("content")), lambda raw: _text_document(kind, raw, opts)),
         )
-        .when(F.col("members").isNotNull(), _container_document(kind, F.col("members"), opts))
+        .when(F.col("members").isNotNull(), _any_container_document(kind, F.col("members"), opts))
         .when(kind == "xls", D.error_document(kind, F.lit(NO_XLS_READER)))
         .when(kind.isin(D.NOTICE_TYPES), D.notice_document(kind, F.col("file_name"), size, opts))
         .otherwise(D.unknown_document(kind, F.col("ext"), size))
     )
+
+
+def extract(detected: DataFrame, opts: ParseOptions) -> DataFrame:
+    """path, file_name, file_size and the ``doc`` struct of every file."""
+    # The text limit is the envelope's business.
+    doc = corpus_document(opts.untruncated())
     return with_members(detected, opts).select("path", "file_name", "file_size", doc.alias("doc"))
 
 

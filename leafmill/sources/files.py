@@ -32,3 +32,15 @@ def files_from_table(table: DataFrame, path: Column, content: Column) -> DataFra
     """files from a table; ``content`` may be text or bytes."""
     raw = table.select(path.alias("path"), content.cast("binary").alias("content"))
     return as_files(raw.withColumn("length", F.octet_length("content").cast("bigint")))
+
+
+def spread(scan: DataFrame) -> DataFrame:
+    """A table scan over at least as many partitions as there are cores.
+
+    Extraction is bound by CPU, and a table in few row groups would leave cores idle.  Rows are
+    dealt out evenly, so hot keys do not matter; a scan that already has enough partitions, as any
+    large table has, is left alone and nothing is shuffled.  For scans only: counting the
+    partitions of a plan with shuffles would run them.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan
