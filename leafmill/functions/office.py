@@ -116,7 +116,9 @@ def number_label(raw: Column) -> Column:
         .when(whole, value.cast("bigint").cast("string"))
         .when(F.abs(value).between(1e-3, 1e7), value.cast("string"))
         .when(F.abs(value).between(1e-6, 1e20), plain)
-        .otherwise(value.cast("string"))
+        .otherwise(
+            F.regexp_replace(F.regexp_replace(value.cast("string"), r"\.0E|E", "e"), "e(?=[0-9])", "e+")
+        )
     )
 
 

@@ -14,18 +14,48 @@ def as_files(raw: DataFrame) -> DataFrame:
     )
 
 
-def scan_files(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+def scan_files(
+    spark: SparkSession,
+    path: str,
+    glob: str | None = None,
+    recursive: bool = True,
+    keep_empty: bool = True,
+    inventory: DataFrame | None = None,
+) -> DataFrame:
     """files: path, file_name, file_size, content.
 
     A job that does not use ``content`` does not read it, and conditions on path and size are
     pushed into the scan.  Files that vanish while the job runs are left to ``read_failures``.
+
+    Spark's file scans skip files of zero bytes; they are added here.  They come from an
+    ``inventory`` (path, length) where there is one, as object stores provide for large corpora,
+    and else from the listing the scan has made, of which only names are handled.
     """
     reader = spark.read.format("binaryFile").option("ignoreMissingFiles", "true")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return as_files(reader.load(path))
+    scan = reader.load(path)
+    if not keep_empty:
+        return as_files(scan)
+    empty = _listed_empty(spark, scan) if inventory is None else inventory.filter(F.col("length") == 0)
+    rows = empty.select(
+        "path",
+        F.lit(None).cast("timestamp").alias("modificationTime"),
+        F.lit(0).cast("bigint").alias("length"),
+        F.lit(b"").alias("content"),
+    )
+    return as_files(scan.unionByName(rows))
+
+
+def _listed_empty(spark: SparkSession, scan: DataFrame) -> DataFrame:
+    """Paths that the scan has listed but does not deliver, which are those of empty files."""
+    uris = spark.createDataFrame([(uri,) for uri in scan.inputFiles()], "uri string")
+    # Listed names are percent-encoded URIs; the scan gives plain paths.
+    plain = F.url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
+    paths = uris.select(F.regexp_replace(plain, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("path"))
+    return paths.join(scan.select("path"), "path", "left_anti")
 
 
 def files_from_table(table: DataFrame, path: Column, content: Column) -> DataFrame:

@@ -199,7 +199,7 @@ def test_sheet_limit(files, sheets):
 
 def test_numbers(column):
     cases = {"1": "1", "-7": "-7", "1.50": "1.5", "100.0": "100", "0.1": "0.1", "1E3": "1000", "12345678.25": "12345678.25",
-             "0.0001": "0.0001", "1.1000000000000001": "1.1", "text": "text", "-0.5": "-0.5", "36526": "36526", "1e21": "1.0E21"}
+             "0.0001": "0.0001", "1.1000000000000001": "1.1", "text": "text", "-0.5": "-0.5", "36526": "36526", "1e21": "1e+21", "2.5E-7": "2.5e-7"}
     assert column(list(cases), "string", number_label) == list(cases.values())
 
 
