@@ -300,19 +300,30 @@ def bytes_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files_from_table(rows, path, content)
 
 
+def _variants(spark: SparkSession, sf_dir: str, names: list[str]) -> DataFrame:
+    """Each document as itself and under other names: unreadable, empty, unknown, dot-less, listed only."""
+    name, text = text_of(F.col("doc_id")), F.col("text").cast("binary")
+    forms = {
+        "doc": (F.concat(F.lit("corpus/doc_"), name, F.lit("."), pick(SUFFIXES, F.col("doc_id"))), text),
+        "bad": (F.concat(F.lit("bad/deck_"), name, F.lit(".pptx")), text),
+        "empty": (F.concat(F.lit("bad/empty_"), name, F.lit(".md")), F.lit(b"")),
+        "unknown": (F.concat(F.lit("bad/code_"), name, F.lit(".py")), text),
+        "plain": (F.concat(F.lit("bad/plain_"), name), text),
+        "listed": (F.concat(F.lit("bad/old_"), name, F.lit(".rar")), text),
+    }
+    files = F.array(*[F.struct(forms[n][0].alias("p"), forms[n][1].alias("c")) for n in names])
+    rows = table(spark, sf_dir, "documents").select(F.inline(files))
+    return files_from_table(rows, F.col("p"), F.col("c"))
+
+
+def mixed_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text formats, pages, and empty, unreadable and unknown files."""
+    return _variants(spark, sf_dir, ["doc", "bad", "empty", "unknown"]).unionByName(pages(spark, sf_dir))
+
+
 def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All formats in one corpus, with empty, unreadable, unknown and dot-less files."""
-    rows = table(spark, sf_dir, "documents")
-    text = F.col("text").cast("binary")
-    name = text_of(F.col("doc_id"))
-    other = [
-        files_from_table(rows, F.concat(F.lit("bad/deck_"), name, F.lit(".pptx")), text),
-        files_from_table(rows, F.concat(F.lit("bad/empty_"), name, F.lit(".md")), F.lit(b"")),
-        files_from_table(rows, F.concat(F.lit("bad/code_"), name, F.lit(".py")), text),
-        files_from_table(rows, F.concat(F.lit("bad/plain_"), name), text),
-        files_from_table(rows, F.concat(F.lit("bad/old_"), name, F.lit(".rar")), text),
-    ]
-    out = docs(spark, sf_dir)
+    out = _variants(spark, sf_dir, ["doc", "bad", "empty", "unknown", "plain", "listed"])
     for more in [
         pages(spark, sf_dir),
         notebooks(spark, sf_dir),
@@ -320,7 +331,6 @@ def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
         archives(spark, sf_dir, "zip"),
         decks(spark, sf_dir),
         ebooks(spark, sf_dir),
-        *other,
     ]:
         out = out.unionByName(more)
     return out

@@ -789,16 +789,7 @@ UNION ALL SELECT 'unknown', {S.octets('text')}, 0, 0 FROM documents
     f"FROM ({_SUMMARY_ROWS}) GROUP BY type"
 )
 def corpus_summary(spark, d):
-    rows = documents(spark, d)
-    name = c("doc_id").cast("string")
-    files = (
-        B.docs(spark, d)
-        .unionByName(B.pages(spark, d))
-        .unionByName(files_from_table(rows, F.concat(F.lit("bad/deck_"), name, F.lit(".pptx")), c("text")))
-        .unionByName(files_from_table(rows, F.concat(F.lit("bad/empty_"), name, F.lit(".md")), F.lit("")))
-        .unionByName(files_from_table(rows, F.concat(F.lit("bad/code_"), name, F.lit(".py")), c("text")))
-    )
-    return summarise(corpus.parse_corpus(files, ParseOptions(max_chars=-1)))
+    return summarise(corpus.parse_corpus(B.mixed_text(spark, d), ParseOptions(max_chars=-1)))
 
 
 QUERIES["render_report"] = QUERIES.pop("render_report_")

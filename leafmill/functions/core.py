@@ -71,3 +71,17 @@ def literal_map(entries: dict[str, str]) -> Column:
     """A constant MAP<STRING, STRING>, shipped as one literal and folded at planning time."""
     pairs = "\x02".join(f"{k}\x03{v}" for k, v in entries.items())
     return F.str_to_map(F.lit(pairs), F.lit("\x02"), F.lit("\x03"))
+
+
+def split_at_last_tag(text: Column) -> Column:
+    """STRUCT<head, tail>: up to and including the last ``>``, and the rest.
+
+    Behind the last ``>`` no tag can end.  Tag patterns run over the head only, where every ``<``
+    finds its end, so stray ``<`` cannot make them rescan the rest of the text.
+    """
+    return let(
+        F.struct(text.alias("text"), F.substring_index(text, ">", -1).alias("tail")),
+        lambda t: F.struct(
+            F.left(t["text"], F.length(t["text"]) - F.length(t["tail"])).alias("head"), t["tail"].alias("tail")
+        ),
+    )

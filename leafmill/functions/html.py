@@ -11,13 +11,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leafmill.functions.core import let, literal_map, non_empty, tail, trim_ws
+from leafmill.functions.core import let, literal_map, non_empty, split_at_last_tag, tail, trim_ws
 from leafmill.functions.references import expand_references, unescape
 
-_HIDDEN = r"(?is)<script\b[^>]*>.*?</script\s*>|<style\b[^>]*>.*?</style\s*>|<!--.*?-->"
+# An element that is never closed runs to the end of the page.
+_HIDDEN = (
+    r"(?is)<script\b[^>]*(?:>.*?(?:</script\s*>|\z)|\z)|<style\b[^>]*(?:>.*?(?:</style\s*>|\z)|\z)|<!--.*?(?:-->|\z)"
+)
 _TAG = r"</?[A-Za-z!?][^>]*>"
-_TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)</title\s*>"
-_HEADING = r"(?is)<h([1-6])(?:\s[^>]*)?>(.*?)</h[1-6]\s*>"
+_TITLE = r"(?is)<title(?:\s[^>]*)?>(.*?)(?:</title\s*>|\z)"
+_HEADING = r"(?is)<h([1-6])(?:\s[^>]*)?>(.*?)(?:</h[1-6]\s*>|(?=<h[1-6][\s>])|\z)"
 _MARK = "\x01"
 
 # One letter per kind of open element.
@@ -61,11 +64,20 @@ _STRUCTURE = (
     r"(?i)<(/?(?:" + "|".join(sorted({t.lstrip("/") for t in _EFFECTS}, key=len, reverse=True)) + r"))(?=[\s/>])[^>]*>"
 )
 _CHUNK = 256
+# Wrappers nested deeper than this are not tracked, as in browsers; text is kept all the same.
+_MAX_DEPTH = 512
 
 
 def visible_html(html: Column) -> Column:
-    """The page without scripts, styles and comments, references expanded, marker removed."""
-    return F.replace(expand_references(F.regexp_replace(html, _HIDDEN, "")), F.lit(_MARK), F.lit(""))
+    """The page without scripts, styles and comments, references expanded, marker removed.
+
+    A ``<`` that no tag end follows is text and is kept as a reference.
+    """
+    shown = let(
+        split_at_last_tag(F.regexp_replace(html, _HIDDEN, "")),
+        lambda t: F.concat(t["head"], F.replace(t["tail"], F.lit("<"), F.lit("&lt;"))),
+    )
+    return F.replace(expand_references(shown), F.lit(_MARK), F.lit(""))
 
 
 def inner_text(markup: Column) -> Column:
@@ -112,8 +124,9 @@ def _open_flags(tags: Column, block_letters: str) -> Column:
         after = F.concat(
             F.regexp_replace(acc["open"], F.try_element_at(cuts, name), F.lit("")), F.try_element_at(pushes, name)
         )
+        too_deep = (F.length(after) > _MAX_DEPTH) & F.endswith(after, F.lit("W"))
         return let(
-            after,
+            F.when(too_deep, F.left(after, F.length(after) - 1)).otherwise(after),
             lambda now: F.struct(
                 now.alias("open"),
                 F.concat(

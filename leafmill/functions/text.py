@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leafmill.functions.core import WS, trim_ws
+from leafmill.functions.core import WS, let, split_at_last_tag, trim_ws
 
 _BOM = bytes([0xEF, 0xBB, 0xBF])
 _CONTROLS = "".join(map(chr, range(0x20)))
@@ -92,7 +92,9 @@ def _limited(body: Column, cut: Column, total: Column) -> Column:
 
 def strip_markup(text: Column) -> Column:
     """Tags to spaces, blanks squeezed, blank lines dropped, then cleaned; no entity decoding."""
-    text = F.regexp_replace(text, "<[^>]+>", " ")
+    text = let(
+        split_at_last_tag(text), lambda t: F.concat(F.regexp_replace(t["head"], "<[^>]+>", " "), t["tail"])
+    )
     text = F.regexp_replace(text, "[ \t]+", " ")
     text = F.regexp_replace(text, f"\n[{WS}]*\n", "\n")
     return clean_text(text)

@@ -1,5 +1,8 @@
+from pyspark.sql import functions as F
+
 from leafmill.functions import html as H
 from leafmill.functions.references import expand_references, unescape
+from leafmill.functions.text import strip_markup
 from leafmill.operators.routes import html_documents
 
 BLOCKS = {
@@ -16,6 +19,9 @@ BLOCKS = {
     "<p> \u00a0 </p><p></p>": [],
     "no blocks <b>here</b>": [],
     "<p>1 < 2 and 3 > 2</p>": ["1 < 2 and 3 > 2"],
+    "<p>a<!-- <p>open": ["a"],
+    "<p>x<script>var <p>y": ["x"],
+    "<p>5 <b>< 6": ["5 < 6"],
     "<article>x<p>in</p>y</article>": ["in"],
 }
 
@@ -60,6 +66,18 @@ def test_headings_and_titles(column):
     assert column([page], "string", lambda c: H.titles(H.visible_html(c))) == [["T & x", "s"]]
 
 
+def test_unclosed_headings(column):
+    (got,) = column(["<h1>a<h2>b</h2><h3>c"], "string", lambda c: H.headings(H.visible_html(c)))
+    assert [tuple(h) for h in got] == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_stray_marks_cost_no_rescans(column):
+    pages = ["<" * 300_000, "<!--" * 100_000, "<script>" * 50_000, "<script " * 50_000, "<h1>" * 20_000, "<p>" + "<b " * 100_000]
+    assert column(pages, "string", lambda c: F.size(H.blocks(H.visible_html(c)))) == [0, 0, 0, 0, 0, 1]
+    assert column(pages, "string", lambda c: F.size(H.headings(H.visible_html(c)))) == [0] * 6
+    assert column(["<" * 300_000], "string", strip_markup) == ["<" * 300_000]
+
+
 def test_document(files):
     rows = html_documents(
         files(("a.html", b"<title>T</title><h1>H</h1><p>one\r\n\r\n\r\ntwo<p>three"), ("b.html", b"<p>x"), ("c.html", b"-"))
