@@ -80,8 +80,9 @@ def split_at_last_tag(text: Column) -> Column:
     finds its end, so stray ``<`` cannot make them rescan the rest of the text.
     """
     return let(
-        F.struct(text.alias("text"), F.substring_index(text, ">", -1).alias("tail")),
-        lambda t: F.struct(
-            F.left(t["text"], F.length(t["text"]) - F.length(t["tail"])).alias("head"), t["tail"].alias("tail")
+        text,
+        lambda t: let(
+            F.substring_index(t, ">", -1),
+            lambda tail: F.struct(F.left(t, F.length(t) - F.length(tail)).alias("head"), tail.alias("tail")),
         ),
     )
