@@ -127,19 +127,21 @@ def _column_number(letters: Column) -> Column:
 
 
 def _cell_value(attributes: Column, cell: Column, strings: Column) -> Column:
-    kind = _attribute(attributes, "t")
     raw = F.regexp_extract(cell, r"<v(?:\s[^>]*)?>([^<]*)</v>", 1)
-    value = (
-        F.when(kind == "s", F.get(strings, raw.try_cast("int")))
-        .when(kind == "inlineStr", _runs(cell))
-        .when(kind == "b", F.when(trim_ws(raw).isin("1", "true"), "true").otherwise("false"))
-        .when(kind == "str", unescape(raw))
-        .when(kind == "e", F.lit(None))
-        .when(kind == "d", raw)
-        .otherwise(number_label(trim_ws(raw)))
-    )
-    stored = F.contains(cell, F.lit("<v")) | (kind == "inlineStr")
-    return F.when(stored & (value != ""), value)
+
+    def value(kind: Column) -> Column:
+        return (
+            F.when(kind == "s", F.get(strings, raw.try_cast("int")))
+            .when(kind == "inlineStr", _runs(cell))
+            .when(~F.contains(cell, F.lit("<v")), F.lit(None))
+            .when(kind == "b", F.when(trim_ws(raw).isin("1", "true"), "true").otherwise("false"))
+            .when(kind == "str", unescape(raw))
+            .when(kind == "e", F.lit(None))
+            .when(kind == "d", raw)
+            .otherwise(let(trim_ws(raw), number_label))
+        )
+
+    return F.nullif(let(_attribute(attributes, "t"), value), F.lit(""))
 
 
 def sheet_grid(xml: Column, strings: Column) -> Column:
