@@ -4,6 +4,7 @@ import pytest
 
 import __spark_entry__ as E
 from corpora.compare import connect, differences
+from corpora.queries import CHECKS, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,10 +20,11 @@ def test_entry(spark):
 
 
 def test_registry():
-    assert set(E.oracle_sql()) == set(E.queries()) - {"corpus_scan"}
+    assert set(QUERIES) <= set(E.queries())
+    assert set(CHECKS) == set(QUERIES) - {"corpus_scan"}
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     # One check selects rows that the smallest tables may lack.
     found = [d for d in differences(spark, con, SF, name) if d != "check has no rows"]
