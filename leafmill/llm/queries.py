@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import sharding
+from leafmill.llm import sharding, token_output
+from leafmill.llm.scratch import new_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +18,17 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    path = new_path(spark, "token-files")
+    token_output.write(_table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return token_output.positions(token_output.write_index(spark, path, new_path(spark, "token-index")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op9_token_output": op9_token_output,
 }
 
 # DuckDB SQL per query, where SQL can state the rows.
