@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import sharding, token_output, warc
+from leafmill.llm import quality, sharding, token_output, warc
 from leafmill.llm.scratch import new_path
 
 
@@ -18,6 +18,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), path)
@@ -34,6 +38,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_quality": op3_quality,
     "op7_warc": op7_warc,
     "op9_token_output": op9_token_output,
 }
