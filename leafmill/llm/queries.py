@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import quality, sharding, token_output, warc
+from leafmill.llm import mixing, quality, sharding, token_output, warc
 from leafmill.llm.scratch import new_path
 
 
@@ -22,6 +22,10 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), path)
@@ -39,6 +43,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_quality": op3_quality,
+    "op4_mixing": op4_mixing,
     "op7_warc": op7_warc,
     "op9_token_output": op9_token_output,
 }
