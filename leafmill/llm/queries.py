@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import mixing, quality, sharding, token_output, warc
+from leafmill.llm import main_text, mixing, quality, sharding, token_output, warc
 from leafmill.llm.scratch import new_path
 
 
@@ -26,6 +26,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents"))
 
 
+def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), path)
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
+    "op5_main_text": op5_main_text,
     "op7_warc": op7_warc,
     "op9_token_output": op9_token_output,
 }
