@@ -57,8 +57,8 @@ def crc32c(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     first = np.cumsum(blocks) - blocks
     begin = (first + blocks) * _BLOCK - sizes
     padded = np.zeros(int(blocks.sum()) * _BLOCK, np.uint8)
-    ramp = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    padded[ramp + np.repeat(begin, sizes)] = data[ramp + np.repeat(starts, sizes)]
+    for a, b, to in zip(starts.tolist(), ends.tolist(), begin.tolist(), strict=True):
+        padded[to : to + b - a] = data[a:b]
     for i in range(4):
         padded[begin + i] ^= 255
     words = np.ascontiguousarray(padded.view("<u4").reshape(-1, _BLOCK // 4).T)
@@ -84,8 +84,10 @@ def _put(out: np.ndarray, at: np.ndarray, values: np.ndarray) -> None:
     out[at[:, None] + np.arange(raw.shape[1])] = raw
 
 
-def encode(doc_ids: np.ndarray, nulls: np.ndarray, ids: bytes, sizes: np.ndarray, width: int) -> pa.BinaryArray:
-    """One frame, without its newline, per document; ids holds the id bytes of all, sizes their byte counts."""
+def encode(doc_ids: np.ndarray, nulls: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> pa.BinaryArray:
+    """One frame, without its newline, per document; ids holds the ids of all, counts their numbers."""
+    width = ids.itemsize
+    raw, sizes = ids.view(np.uint8), counts * width
     lengths = sizes + BODY
     ends = np.cumsum(lengths + HEAD + 4)
     starts = ends - lengths - HEAD - 4
@@ -94,8 +96,10 @@ def encode(doc_ids: np.ndarray, nulls: np.ndarray, ids: bytes, sizes: np.ndarray
     _put(out, starts + HEAD, doc_ids.astype("<i8"))
     out[starts + HEAD + 8] = nulls
     out[starts + HEAD + 9] = width
-    ramp = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    out[ramp + np.repeat(starts + HEAD + BODY, sizes)] = np.frombuffer(ids, np.uint8)
+    at = 0
+    for to, n in zip((starts + HEAD + BODY).tolist(), sizes.tolist(), strict=True):
+        out[to : to + n] = raw[at : at + n]
+        at += n
     _put(out, starts + 8, masked(crc32c(out, starts, starts + 8)).astype("<u4"))
     _put(out, ends - 4, masked(crc32c(out, starts + HEAD, ends - 4)).astype("<u4"))
     offsets = np.concatenate([[0], ends]).astype(np.int32)

@@ -11,16 +11,22 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leafmill.llm import frames
+from leafmill.llm import frames, words
 
-_CHUNK = re.compile(r"[^\x20\x09-\x0D]+")
-_CACHE_WORDS = 400_000
+_PLAIN = re.compile(r"[a-z\u00C0-\u00D6\u00D8-\u00F6\u00F8-\u00FF]+")
+_TAIL = np.zeros(256, bool)
+_TAIL[list(b".,!?;:%&*$#|")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x30, 0x3A), *range(0x61, 0x7B)]] = True
+_CACHE_WORDS = 1_000_000
+_BATCH_BYTES = 4 << 20
 _READ_BYTES = 4 << 20
 _encoders: dict[str, Encoder] = {}
 
@@ -30,30 +36,114 @@ INDEX = (
 )
 
 
+def _without_tails(w: words.Words) -> words.Words:
+    """The same words with ASCII punctuation after a letter or digit as words of their own, as the tokenizer cuts them."""
+    solid = np.maximum.accumulate(np.where(_TAIL[w.data], -1, np.arange(len(w.data))))
+    cut = solid[w.ends - 1] + 1
+    last = w.data[cut - 1]
+    accent = (cut - w.starts > 1) & (w.data[cut - 2] == 0xC3) & (last != 0x97) & (last != 0xB7)
+    tail = (cut > w.starts) & (cut < w.ends) & (_LETTER[last] | accent)
+    more = np.concatenate([[0], np.cumsum(tail)])
+    place = np.arange(len(cut)) + more[:-1]
+    starts, ends = np.empty(len(cut) + more[-1], np.int64), np.empty(len(cut) + more[-1], np.int64)
+    starts[place], ends[place] = w.starts, np.where(tail, cut, w.ends)
+    starts[place[tail] + 1], ends[place[tail] + 1] = cut[tail], w.ends[tail]
+    return words.Words(w.data, w.offsets, starts, ends, w.first + more[w.first])
+
+
 class Encoder:
-    """Ids of texts by a tokenizer whose pieces never span white space; ids of words met before are remembered.
+    """Ids of texts by a tokenizers file whose pieces never span white space and whose words end in a mark.
 
-    The memory is a speed-up of fixed size and is emptied when full; it never changes an id.
+    Texts are cut at white space and before closing punctuation, and every distinct word is encoded once. Plain words
+    (letters that lower-casing and normalization treat one by one) skip the normalizer: they go straight to the merges,
+    many at a time, and the end marks tell them apart. All other words take the whole pipeline. Ids of words met before
+    are remembered under 128 bits of hash; the memory is a speed-up of fixed size that never changes an id.
     """
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
-        self.kind = f"<u{self.width}"
-        self.end = np.array([end_id], self.kind).tobytes()
-        self.known: dict[str, bytes] = {}
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > _CACHE_WORDS:
-            self.known = {}
-        known, chunks = self.known, [_CHUNK.findall(t) for t in texts]
-        new = list({w for c in chunks for w in c if w not in known})
-        for word, got in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-            known[word] = np.array(got.ids, self.kind).tobytes()
-        return [b"".join([*map(known.__getitem__, c), self.end]) for c in chunks]
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        self.full = Tokenizer.from_file(path)
+        self.plain = Tokenizer(self.full.model)
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocab = self.full.get_vocab()
+        size = max(max(vocab.values()), end_id) + 1
+        self.kind = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.end_id = end_id
+        self.ends = np.zeros(size, bool)
+        self.ends[[i for token, i in vocab.items() if token.endswith("</w>")]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys = self.checks = np.zeros(0, np.uint64)
+        self.at = self.sizes = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, self.kind)
+
+    def encode_words(self, texts: list[str]) -> list[list[int]]:
+        plain = [bool(_PLAIN.fullmatch(x)) for x in texts]
+        letters = [x.lower() for x, p in zip(texts, plain, strict=True) if p]
+        joined = [" ".join(letters[k : k + 500]) for k in range(0, len(letters), 500)]
+        ids = [i for e in self.plain.encode_batch_fast(joined, add_special_tokens=False) for i in e.ids]
+        stops = (np.flatnonzero(self.ends[ids]) + 1).tolist() if ids else []
+        cut = iter([ids[a:b] for a, b in zip([0, *stops], stops, strict=False)])
+        rest = [x for x, p in zip(texts, plain, strict=True) if not p]
+        other = iter(self.full.encode_batch_fast(rest, add_special_tokens=False))
+        return [next(cut) if p else next(other).ids for p in plain]
+
+    def remember(self, keys: np.ndarray, checks: np.ndarray, ids: list[list[int]]) -> None:
+        sizes = np.array([len(x) for x in ids], np.int64)
+        at = len(self.pool) + np.cumsum(sizes) - sizes
+        self.pool = np.concatenate([self.pool, np.fromiter(chain.from_iterable(ids), self.kind, int(sizes.sum()))])
+        spot = np.searchsorted(self.keys, keys)
+        self.keys, self.checks = np.insert(self.keys, spot, keys), np.insert(self.checks, spot, checks)
+        self.at, self.sizes = np.insert(self.at, spot, at), np.insert(self.sizes, spot, sizes)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Place of each key in the memory, or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        spot = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[spot] == keys, spot, -1)
+
+    def slowly(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in self.full.encode_batch_fast(texts.to_pylist(), add_special_tokens=False)]
+        return np.array([i for x in got for i in x], self.kind), np.array([len(x) for x in got], np.int64)
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of the texts one after another, each text ended by the end id, and the ids per text."""
+        ids, counts = self.words(texts)
+        row = np.repeat(np.arange(len(counts)), counts)
+        out = np.full(len(ids) + len(counts), self.end_id, self.kind)
+        out[np.arange(len(ids)) + row] = ids
+        return out, counts + 1
+
+    def words(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        w = _without_tails(words.split(texts, lower=True))
+        raw = w.data.tobytes()
+        if b"<|" in raw:  # special tokens are told by case
+            return self.slowly(texts)
+        key, check = w.hashes(0), w.hashes(1)
+        distinct, first, which = np.unique(key, return_index=True, return_inverse=True)
+        seal = check[first]
+        if not np.array_equal(check, seal[which]):  # two words share a 64-bit hash
+            return self.slowly(texts)
+        if len(self.keys) > _CACHE_WORDS:
+            self.forget()
+        spot = self.find(distinct)
+        if not np.array_equal(self.checks[spot[spot >= 0]], seal[spot >= 0]):
+            self.forget()
+            spot = self.find(distinct)
+        new = np.flatnonzero(spot < 0)
+        spans = zip(w.starts[first[new]].tolist(), w.ends[first[new]].tolist(), strict=True)
+        self.remember(distinct[new], seal[new], self.encode_words([raw[a:b].decode() for a, b in spans]))
+        spot = self.find(distinct)[which]
+        sizes = self.sizes[spot]
+        total = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.pool[np.repeat(self.at[spot] - total[:-1], sizes) + np.arange(total[-1])]
+        return ids, np.diff(total[w.first])
 
 
 def encoder(path: str, end_id: int) -> Encoder:
@@ -76,16 +166,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, file_byte
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer, end_id)
-        for batch in batches:
-            ids = encode(batch.column("text").to_pylist())
+        for batch in words.gathered(batches, _BATCH_BYTES):
             doc = batch.column("doc_id")
-            out = frames.encode(
-                np.asarray(doc.fill_null(0)),
-                np.asarray(doc.is_null()),
-                b"".join(ids),
-                np.array([len(x) for x in ids], np.int64),
-                encode.width,
-            )
+            out = frames.encode(np.asarray(doc.fill_null(0)), np.asarray(doc.is_null()), *encode(batch.column("text")))
             yield pa.RecordBatch.from_arrays([out], ["frame"])
 
     order = [F.col("doc_id"), F.xxhash64("text")]

@@ -7,6 +7,7 @@ the hashes of consecutive words, finished by a bijective mixer; two seeds give 1
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -48,6 +49,19 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed:
     return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about that many bytes, so that vectors are long."""
+    held, have = [], 0
+    for batch in batches:
+        held.append(batch)
+        have += batch.nbytes
+        if have >= size:
+            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+            held, have = [], 0
+    for batch in pa.Table.from_batches(held).combine_chunks().to_batches() if held else ():
+        yield batch
+
+
 @dataclass
 class Words:
     """The words of a batch of texts: byte spans in data, and for text i the words first[i] to first[i + 1]."""
