@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import main_text, mixing, quality, sharding, token_output, warc
+from leafmill.llm import main_text, mixing, quality, sharding, token_output, toxicity, warc
 from leafmill.llm.scratch import new_path
 
 
@@ -30,6 +30,12 @@ def op5_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text.extract(_table(spark, sf_dir, "pages"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), path)
@@ -49,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_main_text": op5_main_text,
+    "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
     "op9_token_output": op9_token_output,
 }
