@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import main_text, mixing, quality, sharding, token_output, toxicity, warc
+from leafmill.llm import decontamination, main_text, mixing, quality, sharding, token_output, toxicity, warc
 from leafmill.llm.scratch import new_path
 
 
@@ -18,6 +18,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_decontamination": op2_decontamination,
     "op3_quality": op3_quality,
     "op4_mixing": op4_mixing,
     "op5_main_text": op5_main_text,
