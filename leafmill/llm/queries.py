@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import decontamination, main_text, mixing, quality, sharding, token_output, toxicity, warc
+from leafmill.llm import decontamination, main_text, mixing, quality, sharding, substrings, token_output, toxicity, warc
 from leafmill.llm.scratch import new_path
 
 
@@ -54,6 +54,10 @@ def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.positions(token_output.write_index(spark, path, new_path(spark, "token-index")))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove(_table(spark, sf_dir, "documents")).drop("kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -63,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
     "op9_token_output": op9_token_output,
+    "op10_substrings": op10_substrings,
 }
 
 # DuckDB SQL per query, where SQL can state the rows.
