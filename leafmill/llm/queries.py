@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import decontamination, main_text, mixing, quality, sharding, substrings, token_output, toxicity, warc
+from leafmill.llm import decontamination, main_text, mixing, ngram_join, quality, sharding, substrings, token_output, toxicity, warc
 from leafmill.llm.scratch import new_path
 
 
@@ -46,6 +46,10 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.captures(warc.read(spark, path))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(_table(spark, sf_dir, "documents"))
+
+
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -66,6 +70,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_main_text": op5_main_text,
     "op6_toxicity": op6_toxicity,
     "op7_warc": op7_warc,
+    "op8_ngram_join": op8_ngram_join,
     "op9_token_output": op9_token_output,
     "op10_substrings": op10_substrings,
 }
