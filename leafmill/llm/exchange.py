@@ -15,7 +15,7 @@ ROW = (
     "kind int, bucket int, base long, doc array<short>, key array<long>, seal array<int>, value array<int>, "
     "doc_id array<long>, hash0 array<long>, hash1 array<long>, size array<int>"
 )
-BATCH_BYTES, BATCH_DOCS = 12 << 20, 32_000
+BATCH_BYTES, BATCH_DOCS = 4 << 20, 32_000
 _TYPES = {
     "kind": pa.int32(),
     "bucket": pa.int32(),
@@ -152,7 +152,7 @@ def batch_ids():
     """Ids for the batches of this task, the same in every attempt."""
     from pyspark import TaskContext
 
-    at = TaskContext.get().partitionId() << 32
+    at = TaskContext.get().partitionId() << 24
     while True:
         yield at
         at += 1

@@ -19,6 +19,8 @@ _BLANK[[0x20, *range(0x09, 0x0E)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASES = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95))
+_LENGTH = np.uint64(0xA0761D6478BD642F)
+_STRETCH = 1 << 17
 _powers: dict[tuple[int, bool], np.ndarray] = {}
 
 
@@ -34,19 +36,29 @@ def powers(n: int, seed: int, inverse: bool = False) -> np.ndarray:
     have = _powers.get((seed, inverse))
     if have is None or len(have) < n:
         base = int(_BASES[seed])
-        steps = np.full(max(n, 1 << 16), pow(base, -1, 1 << 64) if inverse else base, np.uint64)
+        steps = np.full(max(n, _STRETCH + 1), pow(base, -1, 1 << 64) if inverse else base, np.uint64)
         steps[0] = 1
         have = np.cumprod(steps, dtype=np.uint64)
         _powers[seed, inverse] = have
     return have[:n]
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-    """Hash of values[start:end] for each span; equal contents give equal hashes wherever they lie."""
-    total = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * powers(len(values), seed), out=total[1:])
-    sums = (total[ends] - total[starts]) * powers(len(values) + 1, seed, True)[starts]
-    return mix(sums + (ends - starts).astype(np.uint64) * np.uint64(0xA0761D6478BD642F))
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int, plus: int = 0) -> np.ndarray:
+    """Hash of values[start:end] + plus for each span; equal contents give equal hashes wherever they lie.
+
+    Starts and ends must not decrease; the spans are worked off in short stretches that stay in the CPU's cache.
+    """
+    out, lo = np.empty(len(starts), np.uint64), 0
+    while lo < len(starts):
+        base = starts[lo]
+        hi = max(lo + 1, int(np.searchsorted(ends, base + _STRETCH, "right")))
+        part = values[base : ends[hi - 1]].astype(np.uint64) + np.uint64(plus)
+        total = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(part * powers(len(part), seed), out=total[1:])
+        a, b = starts[lo:hi] - base, ends[lo:hi] - base
+        out[lo:hi] = (total[b] - total[a]) * powers(len(part) + 1, seed, True)[a] + (b - a).astype(np.uint64) * _LENGTH
+        lo = hi
+    return mix(out)
 
 
 def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -81,7 +93,7 @@ class Words:
         return np.repeat(np.arange(len(self.first) - 1), self.counts)
 
     def hashes(self, seed: int = 0) -> np.ndarray:
-        return span_hashes(self.data.astype(np.uint64) + np.uint64(1), self.starts, self.ends, seed)
+        return span_hashes(self.data, self.starts, self.ends, seed, plus=1)
 
     def windows(self, length: int) -> np.ndarray:
         """Index of the first word of every run of that many words within one text."""
