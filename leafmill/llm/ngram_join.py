@@ -117,17 +117,18 @@ def keys_of(sets: Sets, docs: np.ndarray, lower: bool, similar: float) -> tuple[
     return (*(np.concatenate(x) for x in zip(*out, strict=True)), margin)
 
 
-def _pairs(left: np.ndarray, right: np.ndarray) -> pa.RecordBatch | None:
-    """One row with the distinct pairs of different sets."""
+def _pairs(left: np.ndarray, right: np.ndarray, value: np.ndarray) -> pa.RecordBatch | None:
+    """One row with the distinct pairs of different sets, their band and the number of keys that gave them."""
     a, b = np.minimum(left, right), np.maximum(left, right)
-    a, b = a[left != right], b[left != right]
+    keep_ = left != right
+    a, b, value = a[keep_], b[keep_], value[keep_] % _HOT
     if not len(a):
         return None
-    order = np.lexsort((b, a))
-    a, b = a[order], b[order]
-    new = np.ones(len(a), bool)
-    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
-    return exchange.rows(4, np.zeros(1), 0, np.array([0, int(new.sum())]), hash0=a[new], hash1=b[new])
+    order = np.lexsort((value, b, a))
+    a, b, value = a[order], b[order], value[order]
+    new = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (value[1:] != value[:-1])))
+    count = np.diff(np.append(new, len(a)))
+    return exchange.rows(4, np.zeros(1), 0, np.array([0, len(new)]), hash0=a[new], hash1=b[new], value=value[new], size=count)
 
 
 def _rank(ids: np.ndarray) -> np.ndarray:
@@ -141,7 +142,7 @@ def _common(key: np.ndarray, ids: np.ndarray, value: np.ndarray) -> Iterator[pa.
         first[1:] = key[1:] != key[:-1]
         leader = ids[np.maximum.accumulate(np.where(first, np.arange(len(key)), 0))]
         yield exchange.rows(3, np.zeros(1), 0, np.array([0, len(key)]), key=key.view(np.int64), hash0=ids, value=value % _HOT)
-        pairs = _pairs(leader, ids)
+        pairs = _pairs(leader, ids, value)
         if pairs is not None:
             yield pairs
 
@@ -203,13 +204,14 @@ def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     size = np.diff(np.append(first, len(key)))
     hot = np.repeat((size > COMMON) | (np.maximum.reduceat(value, first) >= _HOT), size)
     yield from _common(key[hot], ids[hot], value[hot])
-    key, ids = key[~hot], ids[~hot]
-    left, right = [], []
+    key, ids, value = key[~hot], ids[~hot], value[~hot]
+    left, right, of = [], [], []
     for step in range(1, COMMON):
         near = np.flatnonzero(key[step:] == key[:-step])
         left.append(ids[near])
         right.append(ids[near + step])
-    pairs = _pairs(np.concatenate(left), np.concatenate(right))
+        of.append(value[near])
+    pairs = _pairs(np.concatenate(left), np.concatenate(right), np.concatenate(of))
     if pairs is not None:
         yield pairs
 
@@ -248,12 +250,11 @@ def candidates(docs: DataFrame, width: int, similar: float) -> DataFrame:
     return sent.repartition(buckets, "bucket").mapInArrow(_receive, exchange.ROW)
 
 
-def verify(docs: DataFrame, pairs: DataFrame, sets: DataFrame, width: int, similar: float, load: int = 2000) -> DataFrame:
-    """The pairs (a, b) whose sets are similar.
+def verify(texts: DataFrame, pairs: DataFrame, width: int, similar: float, load: int = 2000) -> DataFrame:
+    """The pairs (a, b) whose sets are similar. texts has id, hash0 (of the set) and text of every id.
 
     The set with more pairs is the hub of a pair; texts of its partners travel to it, in parts of about load partners, so
-    that a hub with very many is several tasks. sets has id, doc_id and hash0 of every id; a text of the same doc_id but another
-    set is passed over.
+    that a hub with very many is several tasks.
     """
     degree = pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("degree"))
     both = (
@@ -267,10 +268,9 @@ def verify(docs: DataFrame, pairs: DataFrame, sets: DataFrame, width: int, simil
         .withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
     )
     hubs = both.select("hub", F.col("hub").alias("id"), "part").distinct()
-    wanted = both.select("hub", "id", "part").unionByName(hubs).join(sets, "id")
-    wanted = wanted.groupBy("doc_id", "id", "hash0").agg(F.collect_list(F.struct("hub", "part")).alias("to"))
-    texts = docs.select(_doc_key(), "text").join(wanted, "doc_id")
-    moved = texts.select("id", "hash0", "text", F.explode("to").alias("to")).select(
+    wanted = both.select("hub", "id", "part").unionByName(hubs)
+    wanted = wanted.groupBy("id").agg(F.collect_list(F.struct("hub", "part")).alias("to"))
+    moved = texts.join(wanted, "id").select("id", "hash0", "text", F.explode("to").alias("to")).select(
         "to.hub", "to.part", (F.col("id") != F.col("to.hub")).alias("partner"), "id", "hash0", "text"
     )
 
@@ -304,6 +304,83 @@ def verify(docs: DataFrame, pairs: DataFrame, sets: DataFrame, width: int, simil
     return moved.repartition("hub", "part").sortWithinPartitions(*order).mapInArrow(run, "a long, b long")
 
 
+def _band(size: Column, similar: float) -> Column:
+    """Band of a size plus one, as keys carry it."""
+    return F.size(F.filter(F.expr(f"array({','.join(f'{t}L' for t in bands(similar)[0])})"), lambda t: t < size)) + 1
+
+
+def _members(found: DataFrame, named: DataFrame, similar: float) -> DataFrame:
+    """key, id, rep, value (band plus one, or 0) and margin (in that band) of the members of common keys."""
+    member = found.where("kind = 3").select(F.explode(F.arrays_zip("key", "hash0", "value")).alias("x"))
+    member = member.select("x.key", F.col("x.hash0").alias("id"), "x.value").distinct()
+    member = member.join(named.select("id", "rep", "size", "seal", F.col("value").alias("below")), "id")
+    margin = F.when(F.col("value") == _band(F.col("size"), similar), F.col("seal")).otherwise(F.col("below"))
+    return member.select("key", "id", "rep", "value", margin.alias("margin"))
+
+
+def _tied(member: DataFrame) -> DataFrame:
+    """key and rep of members that cannot afford to skip the key: they have more common keys in the band than margin."""
+    short = member.where("value > 0").groupBy("id", "value").agg(F.count("*").alias("n"), F.first("margin").alias("margin")).where("n > margin")
+    tied = member.join(short.select("id", "value"), ["id", "value"], "left_semi").unionByName(member.where("value = 0"))
+    return tied.select("key", "rep").distinct()
+
+
+def _plausible(found: DataFrame, named: DataFrame, common: DataFrame, similar: float) -> DataFrame:
+    """Pairs of representatives (a, b) that have as many keys of their band in common as a similar pair must.
+
+    Of the segments of a similar pair, all but the difference are equal; those that are empty, and common keys that
+    gave no pair, are taken off for the set that has fewer of them. Pairs of extra keys are all kept.
+    """
+    pairs = found.where("kind = 4").select(F.explode(F.arrays_zip("hash0", "hash1", "value", "size")).alias("x"))
+    pairs = pairs.groupBy(F.col("x.hash0").alias("a"), F.col("x.hash1").alias("b"), F.col("x.value").alias("value")).agg(F.sum("x.size").alias("n"))
+    skipped = common.groupBy("id", "value").agg(F.count("*").alias("skipped"))
+    for side in ("a", "b"):
+        own = named.select(
+            F.col("id").alias(side),
+            F.col("rep").alias(f"rep_{side}"),
+            F.col("size").alias(f"size_{side}"),
+            F.col("seal").alias(f"own_{side}"),
+            F.col("value").alias(f"below_{side}"),
+        )
+        hot = skipped.select(F.col("id").alias(side), "value", F.col("skipped").alias(f"hot_{side}"))
+        pairs = pairs.join(own, side).join(hot, [side, "value"], "left")
+
+    def margin(side: str) -> Column:
+        return F.when(F.col("value") == _band(F.col(f"size_{side}"), similar), F.col(f"own_{side}")).otherwise(F.col(f"below_{side}"))
+
+    small, large = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    _, segments, slack = bands(similar)
+    sure = F.element_at(F.expr(f"array({','.join(f'{v}L' for v in segments - slack)})"), F.greatest("value", F.lit(1)))
+    differ = F.floor((small + large) * ((1 - similar) / (1 + similar)) + 1e-9)
+    least = sure + F.greatest(margin("a"), margin("b")) - differ - F.least(F.coalesce("hot_a", F.lit(0)), F.coalesce("hot_b", F.lit(0)))
+    telling = (F.col("value") == 0) | ((F.col("value") == _band(small, similar)) & (F.col("n") >= least))
+    fits = small >= similar * large - 1e-9
+    return (
+        pairs.where((F.col("rep_a") != F.col("rep_b")) & fits & telling)
+        .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
+        .distinct()
+    )
+
+
+def _cross(common: DataFrame, comp: DataFrame, rep_of: DataFrame, similar: float) -> DataFrame:
+    """Pairs of sets in different components that a common key ties, where sizes fit."""
+    tied = common.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    tied = tied.join(rep_of.select(F.col("id").alias("rep"), "size"), "rep")
+    # The component with most sets of the key needs no comparison within.
+    per = tied.groupBy("key", "component").agg(F.count("*").alias("n"))
+    main = per.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("kinds"))
+    tied = tied.join(main.where("kinds > 1").drop("kinds"), "key")
+    rest = tied.where("component <> main").select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("size").alias("sx"))
+    every = tied.select("key", F.col("rep").alias("y"), F.col("component").alias("cy"), F.col("size").alias("sy"))
+    fits = F.least("sx", "sy") >= similar * F.greatest("sx", "sy") - 1e-9
+    return (
+        rest.join(every, "key")
+        .where((F.col("cx") != F.col("cy")) & fits)
+        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .distinct()
+    )
+
+
 def join(docs: DataFrame, width: int = WIDTH, similar: float = 0.75) -> DataFrame:
     """Every row of docs (doc_id, text) with n_shingles, component_id and set_id.
 
@@ -330,49 +407,32 @@ def join(docs: DataFrame, width: int = WIDTH, similar: float = 0.75) -> DataFram
     rep_of = named.select("id", "rep", "size")
     reps = named.where("id = rep").select("id", "doc_id", "hash0")
 
-    def distinct_pairs(pairs: DataFrame) -> DataFrame:
-        pairs = pairs.distinct()
+    common = keep(_members(found, named, similar), "ngram-common")
+    pairs = keep(_plausible(found, named, common, similar), "ngram-pairs")
+    common = keep(_tied(common), "ngram-tied")
+    # The texts that any comparison needs, once.
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(common.select(F.col("rep").alias("id"))).distinct()
+    texts = keep(
+        docs.select(_doc_key(), "text").join(reps.join(involved, "id"), "doc_id").select("id", "hash0", "text"), "ngram-texts"
+    )
+    # First each set with one neighbour; a pair within a component that this gives needs no comparison.
+    rank = F.xxhash64(F.lit(3), "b")
+    arcs = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    first = arcs.groupBy("a").agg(F.min_by("b", rank).alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    links = keep(verify(texts, first, width, similar), "ngram-links")
+    comp = keep(components(links), "ngram-components")
+
+    def across(pairs: DataFrame) -> DataFrame:
         for side in ("a", "b"):
-            other = rep_of.select(F.col("id").alias(side), F.col("rep").alias(f"rep_{side}"), F.col("size").alias(f"size_{side}"))
-            pairs = pairs.join(other, side)
-        fits = F.least("size_a", "size_b") >= similar * F.greatest("size_a", "size_b") - 1e-9
-        return (
-            pairs.where((F.col("rep_a") != F.col("rep_b")) & fits)
-            .select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"))
-            .distinct()
-        )
+            pairs = pairs.join(comp.select(F.col("node").alias(side), F.col("component").alias(f"c{side}")), side, "left")
+        same = F.coalesce("ca", "a") == F.coalesce("cb", "b")
+        return pairs.where(~same).select("a", "b")
 
-    pairs = found.where("kind = 4").select(F.explode(F.arrays_zip("hash0", "hash1")).alias("x")).select(F.col("x.hash0").alias("a"), F.col("x.hash1").alias("b"))
-    pairs = keep(distinct_pairs(pairs), "ngram-pairs")
-    links = keep(verify(docs, pairs, reps, width, similar), "ngram-links")
+    cross = _cross(common, comp, rep_of, similar)
+    left = across(pairs).unionByName(cross).distinct().join(first, ["a", "b"], "left_anti")
+    links = keep(links.unionByName(verify(texts, keep(left, "ngram-left"), width, similar)), "ngram-links")
     comp = keep(components(links), "ngram-components")
 
-    # Sets with a common key that they cannot skip, where the key's sets are not all in one component.
-    member = found.where("kind = 3").select(F.explode(F.arrays_zip("key", "hash0", "value")).alias("x")).select("x.key", F.col("x.hash0").alias("id"), "x.value").distinct()
-    margins = named.select("id", "rep", "size", "seal", F.col("value").alias("below"))
-    top, _, _ = bands(similar)
-    member = member.join(margins, "id")
-    own_band = F.size(F.filter(F.expr(f"array({','.join(f'{t}L' for t in top)})"), lambda t: t < F.col("size")))
-    member = member.withColumn("margin", F.when(F.col("value") == own_band + 1, F.col("seal")).otherwise(F.col("below")))
-    tight = member.where("value > 0").groupBy("id", "value").agg(F.count("*").alias("n"), F.first("margin").alias("margin")).where("n > margin")
-    tied = member.join(tight.select("id", "value"), ["id", "value"], "left_semi").unionByName(member.where("value = 0"))
-    tied = tied.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select("key", "rep", F.coalesce("component", "rep").alias("component")).distinct()
-    tied = keep(tied, "ngram-common")
-    mixed = tied.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other")).where("main <> other").drop("other")
-    tied = tied.join(mixed, "key")
-    rest = tied.where("component <> main").select("key", F.col("rep").alias("x"), F.col("component").alias("cx"))
-    cross = (
-        rest.join(tied.select("key", F.col("rep").alias("y"), F.col("component").alias("cy")), "key")
-        .where("cx <> cy")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
-    )
-    cross = keep(cross.join(pairs, ["a", "b"], "left_anti"), "ngram-cross")
-    if not cross.isEmpty():
-        sized = distinct_pairs(cross)
-        links = keep(links.unionByName(verify(docs, sized, reps, width, similar)), "ngram-links")
-        comp = keep(components(links), "ngram-components")
-
     known = named.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "size", "rep", F.coalesce("component", "rep").alias("component")
     )
