@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,7 +21,6 @@ from leafmill.llm import words
 
 LEAKS = "doc_id long, item_id long, distance int, start long, end long"
 _BATCH_BYTES = 4 << 20
-_automata: dict[str, object] = {}
 
 
 def normal(text: str) -> str:
@@ -160,18 +160,19 @@ def leaks(docs: DataFrame, items: DataFrame, rate: float = 0.1, block_bytes: int
     reported; repeated documents give repeated rows. Items go to the tasks in blocks of about block_bytes, each block one
     pass over the documents, so no benchmark is too large.
     """
-    spark = docs.sparkSession
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = [source.mapInArrow(_search(block, rate), LEAKS) for block in _blocks(items, block_bytes)]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _blocks(items: DataFrame, block_bytes: int) -> list:
+    """Broadcast lists of (item_id, text), together all items that are not blank; one empty list if there are none."""
+    context = items.sparkSession.sparkContext
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where(F.length(F.trim("text")) > 0)
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    out = None
-    for block in range(blocks):
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block)
-        rows = sorted(((r.item_id, r.text) for r in part.collect()), key=str)  # one block
-        found = source.mapInArrow(_search(spark.sparkContext.broadcast(rows), rate), LEAKS)
-        out = found if out is None else out.unionByName(found)
-    return out
+    count = max(1, -(-size // block_bytes))
+    parts = (items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(count)) == k).collect() for k in range(count))
+    return [context.broadcast(sorted(((r.item_id, r.text) for r in part), key=str)) for part in parts]
 
 
 def _search(block, rate: float):
@@ -193,10 +194,18 @@ def _search(block, rate: float):
     return run
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, rate: float = 0.1) -> DataFrame:
-    """The rows of docs, all columns, that hold no item. Rows with a null id are judged and kept by their own text's rows.
+def decontaminate(docs: DataFrame, items: DataFrame, rate: float = 0.1, block_bytes: int = 1 << 20) -> DataFrame:
+    """The rows of docs, all columns, whose text holds no item; rows are judged one by one, whatever their ids."""
+    for block in _blocks(items, block_bytes):
+        docs = docs.mapInArrow(_without(block, rate), docs.schema)
+    return docs
 
-    Null ids cannot be told apart by a join; such rows are dropped only if a row with a null id holds an item.
-    """
-    dirty = leaks(docs, items, rate).select(F.col("doc_id").alias("dirty_id")).distinct()
-    return docs.join(dirty, F.col("doc_id").cast("long").eqNullSafe(F.col("dirty_id")), "left_anti")
+
+def _without(block, rate: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        matcher = Matcher(block.value, rate)
+        for batch in batches:
+            clean = [not text or not matcher.find(normal(text)) for text in batch.column("text").to_pylist()]
+            yield batch.filter(pa.array(clean, pa.bool_()))
+
+    return run

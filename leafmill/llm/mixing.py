@@ -10,13 +10,13 @@ from __future__ import annotations
 
 import heapq
 from collections import defaultdict
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm.scratch import keep
 
-_BINS = 4096
 _EPS = 1e-6
 
 
@@ -136,74 +136,105 @@ def _key(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c), F.lit("null"))
 
 
-def mix(
-    docs: DataFrame, weights: dict | None = None, limit: int = 3, seed: int = 11, members: Column | None = None
-) -> DataFrame:
-    """Every row of docs (doc_id, text, source) with the tokens that the mix takes of it.
+def _pattern(members: Column | None) -> Column:
+    return F.array_distinct(F.array_sort(F.array("source") if members is None else members))
 
-    Adds size (words of the whole text), source_size and target (of its source), copies (0 to limit) and
-    taken = copies * size. weights are per source, by default 1, 2, 3 repeating in code point order; members is an array
-    column of the sources of a document (default: its source), whose set is its membership pattern. Taken tokens
-    of a pattern come within half a document of what the flow asks of it. The seeded order is by a hash of doc_id and
-    text, so a rerun takes the same; repeated rows have equal hashes and are told apart by nothing else. A null source
-    is a source; empty or null texts have size 0 and are taken never. An empty table gives no rows.
-    """
-    members = F.array("source") if members is None else members
+
+def _order(seed: int) -> Column:
+    """Place of a document in the seeded order, 52 bits."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text"), 12)
+
+
+@dataclass
+class Mixture:
+    """What a mix takes: per membership pattern the whole copies, and the last place that gets one more."""
+
+    cuts: DataFrame
+    sources: DataFrame
+    limit: int
+    seed: int
+    members: Column | None
+
+    def copies(self, docs: DataFrame) -> DataFrame:
+        """docs with size and copies (0 to limit), every row; one join with a row per pattern."""
+        rows = docs.withColumns({"__size": word_count(F.col("text")), "__order": _order(self.seed), "__pattern": _pattern(self.members)})
+        extra = (F.col("__order") <= F.col("__cut")).cast("int")
+        copies = F.when(F.col("__size") > 0, F.least(F.lit(self.limit), F.col("__whole") + extra)).otherwise(0).cast("int")
+        return rows.join(self.cuts, "__pattern").withColumns({"__copies": copies}).drop("__order", "__pattern", "__whole", "__cut")
+
+
+def fit(docs: DataFrame, weights: dict | None = None, limit: int = 3, seed: int = 11, members: Column | None = None) -> Mixture:
+    """Plan a mix of docs (doc_id, text, source); see mix()."""
     rows = keep(
-        docs.select(
-            "doc_id",
-            "source",
-            word_count(F.col("text")).alias("size"),
-            F.array_distinct(F.array_sort(members)).alias("pattern"),
-            F.xxhash64(F.lit(seed), "doc_id", "text").alias("order"),
-        ),
+        docs.select("source", word_count(F.col("text")).alias("size"), _pattern(members).alias("pattern"), _order(seed).alias("order")),
         "mix-sizes",
-    ).withColumn("bin", F.shiftrightunsigned("order", 52).cast("int"))
+    ).withColumn("bin", F.shiftright("order", 52 - 12).cast("int"))
     stats = rows.groupBy("pattern").agg(F.sum("size").alias("tokens")).collect()  # one row per pattern
     stats = sorted(((tuple(r.pattern), float(r.tokens)) for r in stats), key=lambda x: str(x[0]))
     known = {s for p, _ in stats for s in p}
     size, target, flows = plan(stats, weights or cycle_weights(list(known)), limit)
 
-    spark = docs.sparkSession
-    amounts = spark.createDataFrame(
-        [(list(p), float(sum(a for (_, q), a in f.items() if q == r))) + (r, t) for p, f in flows.items() for r in range(limit) for t in [dict(stats)[p]]],
-        "pattern array<string>, amount double, repetition int, tokens double",
-    )
-    # Convex costs fill repetition r before r + 1, so a pattern gives whole copies and then a part of its documents.
-    wanted = (
-        amounts.groupBy("pattern")
-        .agg(F.sum("amount").alias("amount"), F.first("tokens").alias("tokens"))
-        .withColumn("whole", F.when(F.col("tokens") > 0, F.floor(F.col("amount") / F.col("tokens") + 1e-9)).otherwise(0).cast("int"))
-        .withColumn("part", F.col("amount") - F.col("whole") * F.col("tokens"))
-    )
-    # Bins of the seeded order: at most 4096 sums per pattern; only the bin in which the part ends is ranked row by row.
+    # Convex costs fill a repetition before the next, so a pattern gives whole copies and then a part of its documents.
+    spark, wanted = docs.sparkSession, []
+    for pattern, tokens in stats:
+        amount = sum(flows[pattern].values())
+        whole = int(amount / tokens + 1e-9) if tokens else 0
+        wanted.append((list(pattern), whole, amount - whole * tokens))
+    wanted = spark.createDataFrame(wanted, "pattern array<string>, whole int, part double")
+    # At most 4096 sums per pattern; only the bin in which the part ends is ranked row by row.
     bins = rows.groupBy("pattern", "bin").agg(F.sum("size").alias("bin_size"))
     run = Window.partitionBy("pattern").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(run), F.lit(0)))
-    bins = bins.join(wanted, "pattern").select(
-        "pattern",
-        "bin",
-        "whole",
-        (F.col("part") - F.col("before")).alias("left"),
-        ((F.col("part") > F.col("before")) & (F.col("part") < F.col("before") + F.col("bin_size"))).alias("edge"),
+    bins = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(run), F.lit(0))).join(wanted, "pattern")
+    inside = F.col("before") + F.col("bin_size") <= F.col("part")
+    full = bins.where(inside).groupBy("pattern").agg((F.shiftleft(F.max("bin").cast("long") + 1, 40) - 1).alias("cut"))
+    edge = bins.where(~inside & (F.col("part") > F.col("before"))).select("pattern", "bin", (F.col("part") - F.col("before")).alias("left"))
+    reached = F.sum("size").over(
+        Window.partitionBy("pattern", "bin").orderBy("order").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = rows.join(bins, ["pattern", "bin"])
-    inside = placed.where("edge").withColumn(
-        "reached",
-        F.sum("size").over(
-            Window.partitionBy("pattern", "bin").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
-        ),
+    last = (
+        rows.join(edge, ["pattern", "bin"])
+        .withColumn("reached", reached)
+        .where(F.col("reached") - F.col("size") / 2 < F.col("left"))
+        .groupBy("pattern")
+        .agg(F.max("order").alias("last"))
+    )
+    cuts = (
+        wanted.join(full, "pattern", "left")
+        .join(last, "pattern", "left")
+        .select(
+            F.col("pattern").alias("__pattern"),
+            F.col("whole").alias("__whole"),
+            F.coalesce(F.greatest("cut", "last"), F.lit(-1)).alias("__cut"),
+        )
     )
-    inside = inside.withColumn("extra", F.col("reached") - F.col("size") / 2 < F.col("left")).drop("reached")
-    whole_bins = placed.where(~F.col("edge")).withColumn("extra", F.col("left") > 0)
-    copies = F.when(F.col("size") > 0, F.least(F.lit(limit), F.col("whole") + F.col("extra").cast("int"))).otherwise(0)
-    chosen = whole_bins.unionByName(inside).withColumn("copies", copies.cast("int"))
     sources = spark.createDataFrame(
         [("null" if s is None else f"={s}", int(size[s]), float(target[s])) for s in size],
-        "source_key string, source_size long, target double",
+        "__source string, source_size long, target double",
     )
-    return (
-        chosen.withColumn("source_key", _key(F.col("source")))
-        .join(sources, "source_key")
-        .select("doc_id", "size", "source", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
+    return Mixture(keep(cuts, "mix-cuts"), sources, limit, seed, members)
+
+
+def mix(
+    docs: DataFrame, weights: dict | None = None, limit: int = 3, seed: int = 11, members: Column | None = None
+) -> DataFrame:
+    """Every row of docs (doc_id, text, source) with the tokens that the mix takes of it.
+
+    Gives doc_id, size (words of the whole text), source, source_size and target (of its source), copies (0 to limit) and
+    taken = copies * size. weights are per source, by default 1, 2, 3 repeating in code point order; members is an array
+    column of the sources of a document (default: its source), whose set is its membership pattern. The tokens taken
+    of a pattern come within half a document of what the flow asks of it. The seeded order is by a hash of doc_id and
+    text, so a rerun takes the same; repeated rows are taken alike. A null source is a source; empty or null texts have
+    size 0 and no copies. An empty table gives no rows; other columns are ignored.
+    """
+    mixture = fit(docs, weights, limit, seed, members)
+    rows = mixture.copies(docs).withColumn("__source", _key(F.col("source"))).join(mixture.sources, "__source")
+    copies, size = F.col("__copies"), F.col("__size")
+    return rows.select(
+        "doc_id", size.alias("size"), "source", "source_size", "target", copies.alias("copies"), (copies * size).alias("taken")
     )
+
+
+def take(docs: DataFrame, **options) -> DataFrame:
+    """The mix itself: the rows of docs, all columns, each as often as the mix takes it."""
+    rows = fit(docs, **options).copies(docs).where("__copies > 0")
+    return rows.withColumn("__nth", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
