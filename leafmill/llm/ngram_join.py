@@ -19,7 +19,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafmill.llm import exchange, words
@@ -32,6 +32,7 @@ _NO_ID = -(1 << 63)
 _HOT = 1 << 16
 _U = np.uint64
 _BYTES = 4 << 20
+_SKETCH = 32
 
 
 @cache
@@ -310,19 +311,34 @@ def _band(size: Column, similar: float) -> Column:
 
 
 def _members(found: DataFrame, named: DataFrame, similar: float) -> DataFrame:
-    """key, id, rep, value (band plus one, or 0) and margin (in that band) of the members of common keys."""
+    """key, id, rep, size, value (band plus one, or 0) and margin (in that band) of the members of common keys."""
     member = found.where("kind = 3").select(F.explode(F.arrays_zip("key", "hash0", "value")).alias("x"))
     member = member.select("x.key", F.col("x.hash0").alias("id"), "x.value").distinct()
     member = member.join(named.select("id", "rep", "size", "seal", F.col("value").alias("below")), "id")
     margin = F.when(F.col("value") == _band(F.col("size"), similar), F.col("seal")).otherwise(F.col("below"))
-    return member.select("key", "id", "rep", "value", margin.alias("margin"))
+    return member.select("key", "id", "rep", "size", "value", margin.alias("margin"))
 
 
-def _tied(member: DataFrame) -> DataFrame:
-    """key and rep of members that cannot afford to skip the key: they have more common keys in the band than margin."""
-    short = member.where("value > 0").groupBy("id", "value").agg(F.count("*").alias("n"), F.first("margin").alias("margin")).where("n > margin")
-    tied = member.join(short.select("id", "value"), ["id", "value"], "left_semi").unionByName(member.where("value = 0"))
-    return tied.select("key", "rep").distinct()
+def _tied(member: DataFrame, similar: float) -> DataFrame:
+    """key and rep of members that cannot afford to skip the key.
+
+    Two similar sets that have only common keys of a band in common have at least `least` of them: the segments beyond
+    the largest possible difference, without their empty ones. So each set may skip its least - 1 most
+    common keys, in one order for all, and a pair still meets in a key that neither skips.
+    """
+    top, segments, slack = bands(similar)
+    at = F.greatest("value", F.lit(1))
+    sure, most = (F.element_at(F.expr(f"array({','.join(f'{v}L' for v in x)})"), at) for x in (segments - slack, top))
+    partner = F.when(F.col("value") == _band(F.col("size"), similar), F.col("size") / similar).otherwise(most)
+    differ = F.floor((F.col("size") + partner) * ((1 - similar) / (1 + similar)) + 1e-9)
+    least = F.greatest(F.lit(1), sure + F.col("margin") - differ)
+    often = member.groupBy("key").agg(F.count("*").alias("often"))
+    own = Window.partitionBy("id", "value")
+    ranked = member.where("value > 0").join(often, "key").withColumns(
+        {"nth": F.row_number().over(own.orderBy("often", "key")), "n": F.count("*").over(own), "least": least}
+    )
+    tied = ranked.where("nth <= n - least + 1").select("key", "rep")
+    return tied.unionByName(member.where("value = 0").select("key", "rep")).distinct()
 
 
 def _plausible(found: DataFrame, named: DataFrame, common: DataFrame, similar: float) -> DataFrame:
@@ -362,23 +378,86 @@ def _plausible(found: DataFrame, named: DataFrame, common: DataFrame, similar: f
     )
 
 
-def _cross(common: DataFrame, comp: DataFrame, rep_of: DataFrame, similar: float) -> DataFrame:
-    """Pairs of sets in different components that a common key ties, where sizes fit."""
+def _apart(common: DataFrame, comp: DataFrame, rep_of: DataFrame) -> DataFrame:
+    """Members of common keys whose members are not all in one component, with the component that most are in."""
     tied = common.join(comp.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    tied = tied.join(rep_of.select(F.col("id").alias("rep"), "size"), "rep")
-    # The component with most sets of the key needs no comparison within.
+    tied = tied.join(rep_of.where("id = rep").select("rep", "size"), "rep")
     per = tied.groupBy("key", "component").agg(F.count("*").alias("n"))
-    main = per.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("kinds"))
-    tied = tied.join(main.where("kinds > 1").drop("kinds"), "key")
-    rest = tied.where("component <> main").select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("size").alias("sx"))
-    every = tied.select("key", F.col("rep").alias("y"), F.col("component").alias("cy"), F.col("size").alias("sy"))
-    fits = F.least("sx", "sy") >= similar * F.greatest("sx", "sy") - 1e-9
-    return (
-        rest.join(every, "key")
-        .where((F.col("cx") != F.col("cy")) & fits)
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+    main = per.groupBy("key").agg(F.max(F.struct("n", "component")).alias("top"), F.count("*").alias("kinds"))
+    main = main.where("kinds > 1").select("key", F.col("top.component").alias("main"))
+    return keep(tied.join(main, "key"), "ngram-apart")
+
+
+def _sides(apart: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members outside their key's largest component as x, and all members as y."""
+    x = apart.where("component <> main").select("key", F.col("rep").alias("x"), F.col("component").alias("cx"), F.col("size").alias("sx"))
+    y = apart.select("key", F.col("rep").alias("y"), F.col("component").alias("cy"), F.col("size").alias("sy"))
+    return x, y
+
+
+def sketches(texts: DataFrame, width: int) -> DataFrame:
+    """id and the parity sketch of its set: bit h(t) is flipped by every shingle t.
+
+    Shingles that two sets share cancel, so sketches of two sets differ in at most as many bits as the sets in shingles.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in exchange.documents(batches, _BYTES):
+            s = Sets(batch.column("text"), width)
+            h = words.mix(s.token ^ _U(0xD6E8FEB86659FD93))
+            bits = np.zeros((batch.num_rows, _SKETCH), _U)
+            np.bitwise_xor.at(bits, (s.row, (h % _U(_SKETCH)).astype(np.int64)), _U(1) << (h >> _U(58)))
+            cuts = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * _SKETCH)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("id"), pa.ListArray.from_arrays(cuts, pa.array(bits.ravel().view(np.int64)))], ["id", "bits"]
+            )
+
+    return texts.select("id", "text").mapInArrow(run, "id long, bits array<long>")
+
+
+def _cross(apart: DataFrame, sketch: DataFrame, similar: float, block: int = 256) -> DataFrame:
+    """Pairs of sets in different components that a common key ties and whose sketches allow them to be similar.
+
+    The sets outside a key's largest component are the queries, held against all members in blocks; only pairs that pass
+    leave the task. A key with very many members is as many tasks as it has blocks.
+    """
+    x, y = _sides(apart)
+    blocks = x.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    queries = x.join(blocks, "key").select(
+        "key", F.pmod(F.xxhash64("x"), F.col("blocks")).cast("int").alias("block"), F.lit(0).alias("side"), F.col("x").alias("id"), F.col("cx").alias("c"), F.col("sx").alias("size")
+    )
+    every = y.join(blocks, "key").select(
+        "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), F.col("y").alias("id"), F.col("cy").alias("c"), F.col("sy").alias("size")
     )
+    rows = queries.unionByName(every).join(sketch, "id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, None
+        for batch in batches:
+            key, part, side, ids, comp, size = (np.asarray(batch.column(c)) for c in ("key", "block", "side", "id", "c", "size"))
+            bits = exchange.flat(batch.column("bits")).view(_U).reshape(-1, _SKETCH)
+            new = np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (side[1:] != side[:-1]))
+            for lo, hi in zip(np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(key)), strict=True):
+                here = (key[lo], part[lo])
+                mine = (ids[lo:hi], comp[lo:hi], size[lo:hi], bits[lo:hi])
+                if side[lo] == 0:
+                    held = [np.concatenate(z) for z in zip(held, mine, strict=True)] if at == here else mine
+                    at = here
+                    continue
+                if at != here:
+                    continue
+                for i, c, n, b in zip(*held, strict=True):
+                    both = mine[2] + n
+                    good = (mine[1] != c) & (np.minimum(mine[2], n) >= similar * np.maximum(mine[2], n) - 1e-9)
+                    near = np.flatnonzero(good)
+                    differ = np.bitwise_count(mine[3][near] ^ b).sum(axis=1)
+                    near = near[differ <= both[near] * ((1 - similar) / (1 + similar)) + 1e-9]
+                    if len(near):
+                        other = mine[0][near]
+                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, i)), pa.array(np.maximum(other, i))], ["a", "b"])
+
+    rows = rows.repartition("key", "block").sortWithinPartitions("key", "block", "side")
+    return rows.mapInArrow(run, "a long, b long").distinct()
 
 
 def join(docs: DataFrame, width: int = WIDTH, similar: float = 0.75) -> DataFrame:
@@ -409,7 +488,7 @@ def join(docs: DataFrame, width: int = WIDTH, similar: float = 0.75) -> DataFram
 
     common = keep(_members(found, named, similar), "ngram-common")
     pairs = keep(_plausible(found, named, common, similar), "ngram-pairs")
-    common = keep(_tied(common), "ngram-tied")
+    common = keep(_tied(common, similar), "ngram-tied")
     # The texts that any comparison needs, once.
     involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).unionByName(common.select(F.col("rep").alias("id"))).distinct()
     texts = keep(
@@ -428,10 +507,17 @@ def join(docs: DataFrame, width: int = WIDTH, similar: float = 0.75) -> DataFram
         same = F.coalesce("ca", "a") == F.coalesce("cb", "b")
         return pairs.where(~same).select("a", "b")
 
-    cross = _cross(common, comp, rep_of, similar)
-    left = across(pairs).unionByName(cross).distinct().join(first, ["a", "b"], "left_anti")
-    links = keep(links.unionByName(verify(texts, keep(left, "ngram-left"), width, similar)), "ngram-links")
-    comp = keep(components(links), "ngram-components")
+    def more(links: DataFrame, left: DataFrame) -> tuple[DataFrame, DataFrame]:
+        left = keep(left, "ngram-left")
+        if left.isEmpty():
+            return links, comp
+        links = keep(links.unionByName(verify(texts, left, width, similar)), "ngram-links")
+        return links, keep(components(links), "ngram-components")
+
+    links, comp = more(links, across(pairs).join(first, ["a", "b"], "left_anti"))
+    # Sets tied by common keys, where these are still apart.
+    sketch = keep(sketches(texts.join(common.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), width), "ngram-sketches")
+    links, comp = more(links, _cross(_apart(common, comp, rep_of), sketch, similar))
 
     known = named.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "size", "rep", F.coalesce("component", "rep").alias("component")
