@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from leafmill.llm import decontamination, mixing, ngram_join, sharding, toxicity
 from leafmill.llm.scratch import keep
+from leafmill.session import configure
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,12 +22,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the classifier, trained on the labels of docs outside the held-out fold, does not call toxic."""
+    configure(spark)
     model = toxicity.fit(docs, _table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.without_toxic(docs, model)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest doc_id; a repeated row stays once."""
+    configure(spark)
     first = ngram_join.join(docs).where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct()
     named = docs.join(first, F.col("doc_id") == F.col("kept_id"), "left_semi").dropDuplicates(["doc_id", "text"])
     return named.unionByName(docs.where("doc_id is null"))
@@ -34,16 +37,19 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows whose text holds no benchmark item."""
+    configure(spark)
     return decontamination.decontaminate(docs, _table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows as often as the mix of sources takes them."""
+    configure(spark)
     return mixing.take(docs)
 
 
 def deal_to_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shard and slot of every row."""
+    configure(spark)
     return sharding.shard(docs)
 
 

@@ -95,20 +95,25 @@ def _open(tag: str, attributes: str, parent: _Element) -> _Element:
 
 
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
-    """(feature, text, breaks a block, dropped, inside a labelled element) per tag (empty text) and text piece."""
+    """(feature, text, breaks a block, dropped, inside a labelled element) per tag (empty text) and text piece.
+
+    The opening tag of an element that is dropped as a whole has a feature of its own kind, d.
+    """
     stack = [_Element("", False, False, "")]
-    at, block, link = 0, "", 0
+    at, block, link, last = 0, "", 0, page.rfind(">") + 1
 
     def piece(text: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
         if text:
             top = stack[-1]
             yield f"w {block} {top.label} {'a' if link else ''}", text, False, top.drop, top.inside
 
-    while m := _TAG.search(page, at):
+    while m := _TAG.search(page, at, last):
         yield from piece(page[at : m.start()])
         at = m.end()
         tag = m[2] or m[5]
         if not tag:
+            if m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(page)
             continue
         tag, closing, attributes = tag.lower(), m[1] or m[4], m[3] or m[6] or ""
         top = stack[-1]
@@ -134,7 +139,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
                         break
             parent = stack[-1]
             element = _open(tag, attributes, parent)
-            yield f"t {tag} {element.label}", "", tag not in INLINE, element.drop, parent.inside
+            kind = "d" if element.drop and not parent.drop else "t"
+            yield f"{kind} {tag} {element.label}", "", tag not in INLINE, element.drop, parent.inside
             if tag in RAW:
                 end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
                 at = end.end() if end else len(page)
@@ -147,28 +153,31 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
     yield from piece(page[at:])
 
 
-def prior(feature: str, dropped: bool) -> float:
+def prior(feature: str) -> float:
     """Weight of a word or tag before any labelled page is seen."""
     kind, name, *_ = feature.split(" ")
     if kind == "w":
-        return -1.5 if dropped else -0.3 if feature.endswith(" a") else 1.0
-    if dropped:
-        return -3.0
+        return -0.3 if feature.endswith(" a") else 1.0
     if name.lstrip("/") in _CONTENT:
         return -6.0
     return -0.2 if name.lstrip("/") in INLINE or name in ("p", "/p", "br") else -0.8
 
 
+def weight(feature: str, dropped: bool, inside: bool, weights: dict[str, float]) -> float:
+    """Weight of a token. An element that is dropped counts once, little inside a labelled element: it is left out of the
+    text anyway, and a form in an article must not cut it in two.
+    """
+    if dropped:
+        return 0.0 if feature[0] != "d" else -0.5 if inside else -3.0
+    w = weights.get(feature)
+    return prior(feature) if w is None else w
+
+
 def main_text(page: str, weights: dict[str, float]) -> str:
     """The text of the best run; empty if no run has a positive sum."""
     items, best, low, low_at, total, span = list(tokens(page)), 0.0, 0.0, 0, 0.0, (0, 0)
-    for i, (feature, text, _, dropped, _) in enumerate(items):
-        weight = weights.get(feature)
-        if weight is None:
-            weight = prior(feature, dropped)
-        if feature[0] == "w":
-            weight *= len(text.split())
-        total += weight
+    for i, (feature, text, _, dropped, inside) in enumerate(items):
+        total += weight(feature, dropped, inside, weights) * (len(text.split()) if text else 1)
         if total - low > best:
             best, span = total - low, (low_at, i + 1)
         if total < low:
@@ -193,29 +202,27 @@ def fit(pages: DataFrame, most_pages: int = 10_000, least: int = 50, prior_count
     chance = F.xxhash64(F.lit(5), "page_id", "url").bitwiseAND((1 << 30) - 1) / float(1 << 30)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict = defaultdict(lambda: [0, 0, 0])
+        counts: dict = defaultdict(lambda: [0, 0])
         for batch in batches:
             for page in batch.column("html").to_pylist():
                 found = list(tokens(page))
                 if not any(x[4] for x in found):
                     continue
                 for feature, text, _, dropped, inside in found:
-                    n = len(text.split()) if feature[0] == "w" else 1
-                    c = counts[feature]
-                    c[0 if inside and not dropped else 1] += n
-                    c[2] |= dropped
+                    if not dropped:
+                        counts[feature][0 if inside else 1] += len(text.split()) if text else 1
         names = list(counts)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), *[pa.array([int(counts[f][k]) for f in names], pa.int64()) for k in range(3)]],
-            ["feature", "inside", "outside", "dropped"],
+            [pa.array(names, pa.string()), *[pa.array([counts[f][k] for f in names], pa.int64()) for k in range(2)]],
+            ["feature", "inside", "outside"],
         )
 
     seen = (
         pages.where((chance < share) & F.col("html").isNotNull())
         .select("html")
-        .mapInArrow(run, "feature string, inside long, outside long, dropped long")
+        .mapInArrow(run, "feature string, inside long, outside long")
         .groupBy("feature")
-        .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"), F.max("dropped").alias("dropped"))
+        .agg(F.sum("inside").alias("inside"), F.sum("outside").alias("outside"))
         .where(F.col("inside") + F.col("outside") >= least)
         .collect()  # features of a sample of fixed size
     )
@@ -224,7 +231,7 @@ def fit(pages: DataFrame, most_pages: int = 10_000, least: int = 50, prior_count
     for r in seen:
         odds = math.log((r.inside / inside + 1e-6) / (r.outside / outside + 1e-6))
         n = r.inside + r.outside
-        w = (max(-6.0, min(6.0, odds)) * n + prior(r.feature, bool(r.dropped)) * prior_count) / (n + prior_count)
+        w = (max(-6.0, min(6.0, odds)) * n + prior(r.feature) * prior_count) / (n + prior_count)
         if r.feature[0] == "t":
             w = min(w, -0.1)
         elif r.inside > r.outside:

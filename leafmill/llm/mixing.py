@@ -227,9 +227,9 @@ def mix(
     size 0 and no copies. An empty table gives no rows; other columns are ignored.
     """
     mixture = fit(docs, weights, limit, seed, members)
-    rows = mixture.copies(docs).withColumn("__source", _key(F.col("source"))).join(mixture.sources, "__source")
+    rows = mixture.copies(docs).select("doc_id", "source", "__size", "__copies", _key(F.col("source")).alias("__source"))
     copies, size = F.col("__copies"), F.col("__size")
-    return rows.select(
+    return rows.join(mixture.sources, "__source").select(
         "doc_id", size.alias("size"), "source", "source_size", "target", copies.alias("copies"), (copies * size).alias("taken")
     )
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leafmill.llm import decontamination, main_text, mixing, ngram_join, quality, sharding, substrings, token_output, toxicity, warc
+from leafmill.llm.checks import CHECKS  # noqa: F401
 from leafmill.llm.scratch import new_path
 
 
@@ -43,11 +44,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_path(spark, "warc")
     warc.write(_table(spark, sf_dir, "pages"), path)
-    return warc.captures(warc.read(spark, path))
+    rows = warc.captures(warc.read(spark, path))
+    return rows.select("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join(_table(spark, sf_dir, "documents"))
+    return ngram_join.join(_table(spark, sf_dir, "documents")).drop("set_id")
 
 
 def op9_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,5 +77,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substrings": op10_substrings,
 }
 
-# DuckDB SQL per query, where SQL can state the rows.
-CHECKS: dict[str, str] = {}

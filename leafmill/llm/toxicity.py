@@ -36,7 +36,7 @@ _SHAPES = [*_THREES, *_FOURS]
 _TABLE = CLASSES**3 + CLASSES**4
 # A run of single characters ("i d i o t") is one string.
 _SPACED = re.compile(r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D][\x20\x09-\x0D]){2,}[^\x20\x09-\x0D](?![^\x20\x09-\x0D])")
-_BATCH_BYTES = 4 << 20
+_BATCH_BYTES = 2 << 20
 
 # Class of a byte of UTF-8 text: a to z, then other ASCII, the edge of a string, and four classes of other bytes.
 _EDGE = 27
@@ -193,11 +193,12 @@ def _linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float) -> t
 def _support(bags: list[set[bytes]]) -> Counter:
     """Documents that have each string, near copies counted about once: by distinct least hashes of their strings."""
     out: Counter | None = None
+    often = {s for s, n in Counter(s for b in bags for s in b).items() if n > 1}
     for seed in (0, 1):
         of: dict[bytes, set[int]] = {}
         for bag in bags:
             mark = min((zlib.crc32(s, seed) for s in bag), default=0)
-            for s in bag:
+            for s in bag & often:
                 of.setdefault(s, set()).add(mark)
         counts = Counter({s: len(m) for s, m in of.items()})
         out = counts if out is None else out & counts
@@ -222,6 +223,10 @@ class Model:
     slope: float = 4.0
     offset: float = 0.0
 
+    def score(self, top: np.ndarray) -> np.ndarray:
+        """Score of documents by their maxima."""
+        return 1 / (1 + np.exp(-(self.slope * np.clip(top, -5, 5) + self.offset)))
+
     def table(self) -> np.ndarray:
         out = np.zeros(_TABLE)
         out[self.places] = self.values
@@ -240,7 +245,7 @@ def train(toxic: list[str], clean: list[str], landmarks: int = 400, rounds: int
     plain = Counter(s for t in clean for s in strings_of(t))
     seen = _support(bags)
     # Strings that clean documents lack and that so many toxic ones have that chance would yield less than half a string.
-    kinds, share = Counter(seen[s] + plain[s] for s in seen | plain), len(bags) / (len(bags) + len(clean))
+    kinds, share = Counter(seen[s] + plain[s] for s in seen), len(bags) / (len(bags) + len(clean))
     sure = next(k for k in range(3, len(bags) + 4) if sum(n * share**j for j, n in kinds.items() if j >= k) < 0.5)
     strong = sorted((s for s in seen if len(s) >= 3 and not plain[s] and seen[s] >= sure), key=lambda s: (-seen[s], s))
     bent = sorted({v for s in strong for v in _variants(s)} - set(plain))
@@ -328,7 +333,7 @@ def held_out(doc_id: str = "doc_id", fold: int = 5):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % fold == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean: int = 3000, fold: int = 5) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1000, most_clean: int = 2000, fold: int = 5) -> Model:
     """Train on labelled rows outside the held-out fold: at most that many of each label, in order of a hash of the id."""
     known = labels.where(~held_out("doc_id", fold) & F.col("toxic").isNotNull()).select("doc_id", "toxic").distinct()
     parts = [
@@ -342,7 +347,8 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1500, most_clean:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """All columns of docs with score (0 to 1) and predicted (1 from 0.5 on) of every whole text.
+    """All columns of docs with score (0 to 1) and predicted (1 from 0.5 on) of every whole text; they replace columns of
+    these names.
 
     Empty, null and blank texts get the score of a text without any subsequence. An empty table gives no rows.
     """
@@ -352,9 +358,21 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         table = model.table()
         for batch in words.gathered(batches, _BATCH_BYTES):
             top = document_maximum(batch.column("text"), table, model.bias)
-            value = 1 / (1 + np.exp(-(model.slope * np.clip(top, -5, 5) + model.offset)))
+            value = model.score(top)
             extra = [pa.array(value), pa.array((value >= 0.5).astype(np.int32))]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in columns), *extra], [*columns, "score", "predicted"])
 
     schema = docs.select(*columns).schema.add("score", "double").add("predicted", "integer")
     return docs.select(*columns).mapInArrow(run, schema)
+
+
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of docs, all columns, that are not predicted toxic; each row is judged by its own text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = model.table()
+        for batch in words.gathered(batches, _BATCH_BYTES):
+            top = document_maximum(batch.column("text"), table, model.bias)
+            yield batch.filter(pa.array(model.score(top) < 0.5))
+
+    return docs.mapInArrow(run, docs.schema)

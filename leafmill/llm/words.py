@@ -62,14 +62,16 @@ def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed:
 
 
 def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about that many bytes, so that vectors are long."""
+    """The same rows in batches of about that many bytes: long enough for vectors, bounded in memory."""
     held, have = [], 0
-    for batch in batches:
-        held.append(batch)
-        have += batch.nbytes
-        if have >= size:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-            held, have = [], 0
+    for whole in batches:
+        step = max(1, whole.num_rows * size // max(whole.nbytes, 1))
+        for batch in (whole.slice(at, step) for at in range(0, whole.num_rows, step)):
+            held.append(batch)
+            have += batch.nbytes
+            if have >= size:
+                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                held, have = [], 0
     for batch in pa.Table.from_batches(held).combine_chunks().to_batches() if held else ():
         yield batch
 
