@@ -41,7 +41,7 @@ def _without_tails(w: words.Words) -> words.Words:
     solid = np.maximum.accumulate(np.where(_TAIL[w.data], -1, np.arange(len(w.data))))
     cut = solid[w.ends - 1] + 1
     last = w.data[cut - 1]
-    accent = (cut - w.starts > 1) & (w.data[cut - 2] == 0xC3) & (last != 0x97) & (last != 0xB7)
+    accent = (cut - w.starts > 1) & (w.data[np.maximum(cut - 2, 0)] == 0xC3) & (last != 0x97) & (last != 0xB7)
     tail = (cut > w.starts) & (cut < w.ends) & (_LETTER[last] | accent)
     more = np.concatenate([[0], np.cumsum(tail)])
     place = np.arange(len(cut)) + more[:-1]

@@ -341,7 +341,7 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1000, most_clean:
     ]
     # At most most_toxic + most_clean rows.
     sample = F.broadcast(parts[0].unionByName(parts[1]))
-    rows = docs.join(sample, "doc_id").where("text is not null").select("doc_id", "text", "toxic").toPandas()
+    rows = docs.where("text is not null").select("doc_id", "text").join(sample, "doc_id").toPandas()
     rows = rows.sort_values(["doc_id", "text"])
     return train(rows.text[rows.toxic == 1].tolist(), rows.text[rows.toxic == 0].tolist())
 
