@@ -73,10 +73,26 @@ def dirty_files(spark: SparkSession, d: str) -> DataFrame:
 # --- scans, sources, routing -------------------------------------------------------------------
 
 
-@query()
+_TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
+).split()
+
+
+@query(
+    "SELECT * FROM (VALUES " + ", ".join(f"('{t}', '50415231', true)" for t in _TABLES) + ") AS t(table_name, magic, whole)"
+)
 def corpus_scan(spark, d):
-    """The files of the data directory itself; their bytes are not read."""
-    return scan_files(spark, d, "*.parquet").select("file_name", "file_size")
+    """The bytes of the files of the data directory: per table the leading bytes, and whether all content was read."""
+    files = scan_files(spark, d, "*.parquet")
+    return (
+        files.select(
+            F.regexp_extract("path", r"/(\w+)\.parquet(?:/|$)", 1).alias("table_name"),
+            F.hex(F.substring("content", 1, 4)).alias("magic"),
+            (F.octet_length("content") == c("file_size")).alias("read"),
+        )
+        .groupBy("table_name", "magic")
+        .agg(F.bool_and("read").alias("whole"))
+    )
 
 
 _PATH_SQL = (

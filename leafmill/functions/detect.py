@@ -64,8 +64,8 @@ ZIP_BASED = ["xlsx", "docx", "pptx", "epub"]
 
 
 def file_name(path: Column) -> Column:
-    """Last path segment; slashes of both kinds separate."""
-    return F.substring_index(F.substring_index(path, "/", -1), "\\", -1)
+    """Last path segment; slashes of both kinds separate. A path that ends in one is its own name."""
+    return F.coalesce(F.nullif(F.substring_index(F.substring_index(path, "/", -1), "\\", -1), F.lit("")), path)
 
 
 def extension(name: Column) -> Column:

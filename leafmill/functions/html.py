@@ -64,7 +64,7 @@ _STRUCTURE = (
     r"(?i)<(/?(?:" + "|".join(sorted({t.lstrip("/") for t in _EFFECTS}, key=len, reverse=True)) + r"))(?=[\s/>])[^>]*>"
 )
 _CHUNK = 256
-# Wrappers nested deeper than this are not tracked, as in browsers; text is kept all the same.
+# Wrappers nested deeper than this are only counted, so that their end tags close nothing else.
 _MAX_DEPTH = 512
 
 
@@ -124,11 +124,14 @@ def _open_flags(tags: Column, block_letters: str) -> Column:
         after = F.concat(
             F.regexp_replace(acc["open"], F.try_element_at(cuts, name), F.lit("")), F.try_element_at(pushes, name)
         )
+        wrapper_end = F.startswith(name, F.lit("/")) & (F.try_element_at(pushes, F.substring(name, F.lit(2), F.length(name))) == "W")
         too_deep = (F.length(after) > _MAX_DEPTH) & F.endswith(after, F.lit("W"))
+        swallowed = (acc["uncounted"] > 0) & wrapper_end
         return let(
-            F.when(too_deep, F.left(after, F.length(after) - 1)).otherwise(after),
+            F.when(swallowed, acc["open"]).when(too_deep, F.left(after, F.length(after) - 1)).otherwise(after),
             lambda now: F.struct(
                 now.alias("open"),
+                (acc["uncounted"] + F.when(swallowed, -1).when(too_deep, 1).otherwise(0)).alias("uncounted"),
                 F.concat(
                     acc["flags"],
                     F.when(~F.rlike(now, F.lit(inside)), "o")
@@ -139,16 +142,17 @@ def _open_flags(tags: Column, block_letters: str) -> Column:
         )
 
     def chunk(acc: Column, k: Column) -> Column:
-        start = F.struct(acc["open"].alias("open"), F.lit("").alias("flags"))
+        start = F.struct(acc["open"].alias("open"), acc["uncounted"].alias("uncounted"), F.lit("").alias("flags"))
         return let(
             F.aggregate(F.slice(tags, k * _CHUNK + 1, F.lit(_CHUNK)), start, step),
             lambda part: F.struct(
                 part["open"].alias("open"),
+                part["uncounted"].alias("uncounted"),
                 F.concat(acc["flags"], F.split(part["flags"], "(?!^)(?=.)")).alias("flags"),
             ),
         )
 
-    empty = F.struct(F.lit("").alias("open"), F.array().cast("array<string>").alias("flags"))
+    empty = F.struct(F.lit("").alias("open"), F.lit(0).alias("uncounted"), F.array().cast("array<string>").alias("flags"))
     last = F.floor((F.size(tags) - 1) / _CHUNK).cast("int")
     return F.when(F.size(tags) == 0, F.array().cast("array<string>")).otherwise(
         F.aggregate(F.sequence(F.lit(0), last), empty, chunk, lambda acc: acc["flags"])

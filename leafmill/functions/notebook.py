@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from leafmill.functions.core import as_parts, limit_parts, skip_note, string_array, trim_ws
+from leafmill.functions.core import as_parts, let, limit_parts, skip_note, string_array, trim_ws
 from leafmill.functions.text import clean_text
 
 # Fixed value: the text of a notebook that is not JSON.
@@ -13,7 +13,17 @@ INVALID_TEXT = "Invalid JSON: Could not parse notebook file."
 
 
 def notebook_json(text: Column) -> Column:
-    return F.try_parse_json(text)
+    """The JSON value that is the whole text, as VARIANT; null when it is none or more follows it.
+
+    The parser stops after the first value, so the text is read as the only item of an array. Repeated keys are allowed by
+    the session settings; the last one counts.
+    """
+    return let(
+        F.try_parse_json(F.concat(F.lit("["), text, F.lit("\n]"))),
+        lambda v: F.when(
+            F.try_variant_get(v, "$[1]", "variant").isNull(), F.try_variant_get(v, "$[0]", "variant")
+        ),
+    )
 
 
 def ml_string(value: Column, path: str = "$") -> Column:

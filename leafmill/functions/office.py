@@ -79,6 +79,16 @@ WORKBOOK_PART = "xl/workbook.xml"
 RELATIONS_PART = "xl/_rels/workbook.xml.rels"
 STRINGS_PART = "xl/sharedStrings.xml"
 
+# Elements may carry a namespace prefix.
+_NS = r"(?:\w+:)?"
+# A row or cell reference beyond the last row (1048576) or column (XFD) of the format.
+_BEYOND_ROW = (
+    r"[0-9]{8,}|[2-9][0-9]{6}|1[1-9][0-9]{5}|10[5-9][0-9]{4}|1049[0-9]{3}|1048[6-9][0-9]{2}|10485[89][0-9]|104857[7-9]"
+)
+_BEYOND = (
+    rf"(?s)<{_NS}(?:row|c)\s(?:[^>]*?\s)?r=[\"'](?:(?:[A-Z]{{4,}}|[YZ][A-Z]{{2}}|X[G-Z][A-Z]|XF[E-Z])[0-9]+|[A-Z]{{0,3}}(?:{_BEYOND_ROW}))[\"']"
+)
+
 
 def part_text(members: Column, name: Column | str) -> Column:
     """Decoded text of the named XML member, references expanded; null when there is none."""
@@ -94,14 +104,16 @@ def _attribute(attributes: Column, name: str) -> Column:
 def _shared_strings(xml: Column) -> Column:
     """Texts of the shared string table; runs joined, phonetic hints left out."""
     items = F.regexp_extract_all(
-        F.regexp_replace(xml, r"(?s)<rPh\b.*?</rPh>", ""), F.lit(r"(?s)<si\s*/>|<si\b[^>]*>.*?</si>"), 0
+        F.regexp_replace(xml, rf"(?s)<{_NS}rPh\b.*?</{_NS}rPh>", ""),
+        F.lit(rf"(?s)<{_NS}si\s*/>|<{_NS}si\b[^>]*>.*?</{_NS}si>"),
+        0,
     )
     return F.coalesce(F.transform(items, _runs), string_array())
 
 
 def _runs(markup: Column) -> Column:
     return unescape(
-        F.array_join(F.regexp_extract_all(markup, F.lit(r"<t(?:\s[^>]*)?>([^<]*)</t>"), 1), "")
+        F.array_join(F.regexp_extract_all(markup, F.lit(rf"<{_NS}t(?:\s[^>]*)?>([^<]*)</{_NS}t>"), 1), "")
     )
 
 
@@ -123,17 +135,26 @@ def number_label(raw: Column) -> Column:
 
 
 def _column_number(letters: Column) -> Column:
-    return F.aggregate(F.split(letters, ""), F.lit(0), lambda acc, c: acc * 26 + F.ascii(c) - 64)
+    """1 for A; null for more letters than any column of the format has."""
+    number = F.aggregate(F.split(letters, ""), F.lit(0), lambda acc, c: acc * 26 + F.ascii(c) - 64)
+    return F.when(F.length(letters) <= 3, number)
+
+
+def beyond_grid(members: Column) -> Column:
+    """Whether a sheet refers to rows or columns that the format does not have."""
+    return F.exists(
+        members, lambda m: F.startswith(m["name"], F.lit("xl/worksheets/")) & F.coalesce(F.rlike(decode_text(m["data"]), F.lit(_BEYOND)), F.lit(False))
+    )
 
 
 def _cell_value(attributes: Column, cell: Column, strings: Column) -> Column:
-    raw = F.regexp_extract(cell, r"<v(?:\s[^>]*)?>([^<]*)</v>", 1)
+    raw = F.regexp_extract(cell, rf"<{_NS}v(?:\s[^>]*)?>([^<]*)</{_NS}v>", 1)
 
     def value(kind: Column) -> Column:
         return (
             F.when(kind == "s", F.get(strings, raw.try_cast("int")))
             .when(kind == "inlineStr", _runs(cell))
-            .when(~F.contains(cell, F.lit("<v")), F.lit(None))
+            .when(~F.rlike(cell, F.lit(rf"<{_NS}v")), F.lit(None))
             .when(kind == "b", F.when(trim_ws(raw).isin("1", "true"), "true").otherwise("false"))
             .when(kind == "str", unescape(raw))
             .when(kind == "e", F.lit(None))
@@ -148,7 +169,7 @@ def sheet_grid(xml: Column, strings: Column) -> Column:
     """ARRAY<STRUCT<row, cells ARRAY<STRUCT<col, value>>>>: rows and cells with a value, 1-based."""
 
     def cell(markup: Column, i: Column) -> Column:
-        attributes = F.regexp_extract(markup, r"^<c\b([^>]*)>", 1)
+        attributes = F.regexp_extract(markup, rf"^<{_NS}c\b([^>]*)>", 1)
         letters = F.regexp_extract(_attribute(attributes, "r"), "^([A-Z]+)", 1)
         return F.struct(
             F.when(letters == "", i + 1).otherwise(_column_number(letters)).cast("int").alias("col"),
@@ -156,22 +177,22 @@ def sheet_grid(xml: Column, strings: Column) -> Column:
         )
 
     def row(markup: Column, i: Column) -> Column:
-        attributes = F.regexp_extract(markup, r"^<row\b([^>]*)>", 1)
+        attributes = F.regexp_extract(markup, rf"^<{_NS}row\b([^>]*)>", 1)
         cells = F.transform(
-            F.regexp_extract_all(markup, F.lit(r"(?s)<c(?=[\s/>])[^>]*?(?:/>|>.*?</c>)"), 0), cell
+            F.regexp_extract_all(markup, F.lit(rf"(?s)<{_NS}c(?=[\s/>])[^>]*?(?:/>|>.*?</{_NS}c>)"), 0), cell
         )
         return F.struct(
             F.coalesce(_attribute(attributes, "r").try_cast("int"), i + 1).alias("row"),
-            F.sort_array(F.filter(cells, lambda c: c["value"].isNotNull())).alias("cells"),
+            F.sort_array(F.filter(cells, lambda c: c["value"].isNotNull() & c["col"].isNotNull())).alias("cells"),
         )
 
-    rows = F.regexp_extract_all(xml, F.lit(r"(?s)<row(?=[\s/>])[^>]*?(?:/>|>.*?</row>)"), 0)
+    rows = F.regexp_extract_all(xml, F.lit(rf"(?s)<{_NS}row(?=[\s/>])[^>]*?(?:/>|>.*?</{_NS}row>)"), 0)
     return F.sort_array(F.filter(F.transform(rows, row), lambda r: F.size(r["cells"]) > 0))
 
 
 def _first_corner(xml: Column, grid: Column) -> Column:
     """STRUCT<row, col>: where the used range starts."""
-    ref = F.regexp_extract(xml, r'<dimension\s+ref="([A-Z]+[0-9]+)', 1)
+    ref = F.regexp_extract(xml, rf'<{_NS}dimension\s+ref="([A-Z]+[0-9]+)', 1)
     stated_row = F.regexp_extract(ref, "([0-9]+)$", 1).try_cast("int")
     letters = F.regexp_extract(ref, "^([A-Z]+)", 1)
     stated_col = F.when(letters != "", _column_number(letters))

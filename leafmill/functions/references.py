@@ -40,11 +40,9 @@ def expand_references(text: Column, named: bool = True) -> Column:
     def one(piece: Column) -> Column:
         name = F.substring_index(piece, ";", 1)
         rest = F.substring(piece, F.length(name) + 2, F.length(piece))
-        code = F.when(
-            F.rlike(name, F.lit("^#[0-9]{1,7}$")), F.substring(name, F.lit(2), F.lit(8)).try_cast("int")
-        ).when(
-            F.rlike(name, F.lit("^#[xX][0-9a-fA-F]{1,6}$")),
-            F.conv(F.substring(name, F.lit(3), F.lit(8)), 16, 10).try_cast("int"),
+        decimal, hexadecimal = "^#0*([0-9]{1,7})$", "^#[xX]0*([0-9a-fA-F]{1,6})$"
+        code = F.when(F.rlike(name, F.lit(decimal)), F.regexp_extract(name, decimal, 1).try_cast("int")).when(
+            F.rlike(name, F.lit(hexadecimal)), F.conv(F.regexp_extract(name, hexadecimal, 1), 16, 10).try_cast("int")
         )
         valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         kept = F.when(code == ord("<"), "&lt;").when(code == ord(">"), "&gt;").when(code == ord("&"), "&amp;")

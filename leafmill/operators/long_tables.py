@@ -12,7 +12,7 @@ from leafmill.operators import documents as D
 from leafmill.options import ParseOptions
 from leafmill.plans.corpus import member_plans
 from leafmill.schema import TABLES
-from leafmill.sources.members import read_members
+from leafmill.sources.members import MemberPlan, Selection, read_members
 
 
 def _raw() -> Column:
@@ -38,7 +38,7 @@ def cells(notebooks: DataFrame) -> DataFrame:
 
 def _members_of(files: DataFrame, kind: str, opts: ParseOptions) -> DataFrame:
     plans = member_plans(opts)
-    members = read_members(F.lit(kind), F.col("content"), plans, opts.max_inflated_bytes)
+    members = read_members(F.lit(kind), F.col("content"), plans)
     return files.withColumn("members", members)
 
 
@@ -53,7 +53,11 @@ def workbook_cells(books: DataFrame, opts: ParseOptions = ParseOptions()) -> Dat
     )
 
 
-def slides(decks: DataFrame, opts: ParseOptions = ParseOptions()) -> DataFrame:
+# Every slide and note, without the limit of documents.
+_ALL_SLIDES = {"pptx": MemberPlan("zip", (Selection(D.SLIDE_PART), Selection(D.NOTES_PART)))}
+
+
+def slides(decks: DataFrame) -> DataFrame:
     """path, slide, text, notes: every slide with the notes part of its number, if any."""
 
     def text(data: Column) -> Column:
@@ -66,7 +70,7 @@ def slides(decks: DataFrame, opts: ParseOptions = ParseOptions()) -> DataFrame:
         )
 
     return (
-        _members_of(decks, "pptx", opts)
+        decks.withColumn("members", read_members(F.lit("pptx"), F.col("content"), _ALL_SLIDES))
         .select(
             "path",
             D.numbered_parts(F.col("members"), D.SLIDE_PART).alias("_slides"),

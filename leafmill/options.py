@@ -23,9 +23,7 @@ class ParseOptions:
 
     ``max_chars`` of zero or below means unlimited.  ``max_pages`` overrides the per-format
     default for slides, sheets, chapters, cells and listed archive entries; paged text takes
-    every page unless it is set above zero.  ``max_inflated_bytes`` bounds what one container
-    may inflate to: beyond it the file becomes an error row, because its members would not fit
-    into one Spark row anyway.
+    every page unless it is set above zero.
     """
 
     max_chars: int = DEFAULT_MAX_CHARS
@@ -33,7 +31,6 @@ class ParseOptions:
     extract_tables: bool = True
     extract_images: bool = False
     ocr_lang: str = "eng"
-    max_inflated_bytes: int = 1 << 30
 
     def limit(self, default: int) -> int:
         return default if self.max_pages is None else max(self.max_pages, 0)

@@ -23,6 +23,8 @@ TEXT_TYPES = ["html", "htm", "xml", "markdown", "ipynb", "csv", "tsv", *PLAIN_TY
 # Messages of packages that lack their main part, or that no reader here decodes.
 NO_WORD_PART = "Could not find main document part. Are you sure this is a docx file?"
 NO_WORKBOOK_PART = "Could not find workbook"
+BAD_REFERENCE = "a cell reference lies outside the sheet"
+TOO_LARGE = "the file is larger than the row limit of the scan"
 NO_XLS_READER = "legacy binary workbooks are not decoded"
 
 
@@ -57,7 +59,7 @@ def with_members(detected: DataFrame, opts: ParseOptions) -> DataFrame:
     plans = member_plans(opts)
     kind = F.col("type")
     content = F.when(kind.isin(list(plans)) & (F.col("file_size") > 0), F.col("content"))
-    return detected.withColumn("members", read_members(kind, content, plans, opts.max_inflated_bytes))
+    return detected.withColumn("members", read_members(kind, content, plans))
 
 
 def _text_document(kind: Column, raw: Column, opts: ParseOptions) -> Column:
@@ -96,6 +98,7 @@ def container_document(family: tuple[str, ...], kind: Column, members: Column, o
         return out.otherwise(D.epub_document(members, opts))
     if reader == "docx":
         return needs(D.WORD_PART, NO_WORD_PART, D.word_document(members, opts))
+    out = out.when(office.beyond_grid(members), D.error_document(kind, F.lit(BAD_REFERENCE)))
     return needs(office.WORKBOOK_PART, NO_WORKBOOK_PART, D.workbook_document(members, name, opts))
 
 
@@ -115,6 +118,7 @@ def corpus_document(opts: ParseOptions) -> Column:
     kind, size = F.col("type"), F.col("file_size")
     return (
         F.when(size == 0, D.empty_document())
+        .when(F.col("content").isNull(), D.read_failure_document(F.lit(TOO_LARGE)))
         .when(
             kind.isin(TEXT_TYPES),
             let(decode_text(F.col("content")), lambda raw: _text_document(kind, raw, opts)),

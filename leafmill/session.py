@@ -11,6 +11,8 @@ RUNTIME_CONF = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "256",
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     "spark.sql.session.timeZone": "UTC",
+    # Repeated keys in notebooks are valid JSON; the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
 }
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,17 +21,19 @@ def scan_files(
     path: str,
     glob: str | None = None,
     recursive: bool = True,
-    keep_empty: bool = True,
+    keep_empty: bool = False,
     inventory: DataFrame | None = None,
 ) -> DataFrame:
     """files: path, file_name, file_size, content.
 
     A job that does not use ``content`` does not read it, and conditions on path and size are
-    pushed into the scan.  Files that vanish while the job runs are left to ``read_failures``.
+    pushed into the scan.  Files beyond ``spark.sql.sources.binaryFile.maxLength``, which no row
+    can hold, come without content; the corpus job makes error rows of them.  Files that vanish
+    while the job runs are left to ``read_failures``.
 
-    Spark's file scans skip files of zero bytes; they are added here.  They come from an
-    ``inventory`` (path, length) where there is one, as object stores provide for large corpora,
-    and else from the listing the scan has made, of which only names are handled.
+    Spark's file scans skip files of zero bytes.  They are added from an ``inventory`` (path,
+    length), as object stores provide, or, with ``keep_empty``, from the listing of the scan: its
+    names then pass through the driver, so that is for folders whose names fit there.
     """
     reader = spark.read.format("binaryFile").option("ignoreMissingFiles", "true")
     if recursive:
@@ -37,16 +41,22 @@ def scan_files(
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     scan = reader.load(path)
-    if not keep_empty:
-        return as_files(scan)
-    empty = _listed_empty(spark, scan) if inventory is None else inventory.filter(F.col("length") == 0)
-    rows = empty.select(
+    most = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str((1 << 31) - 1)))
+    found = [scan.filter(F.col("length") <= most), _without_content(scan.filter(F.col("length") > most))]
+    if keep_empty or inventory is not None:
+        empty = _listed_empty(spark, scan) if inventory is None else inventory.filter(F.col("length") == 0)
+        found.append(_without_content(empty.withColumn("length", F.lit(0).cast("bigint")), F.lit(b"")))
+    return as_files(reduce(DataFrame.unionByName, found))
+
+
+def _without_content(rows: DataFrame, content: Column | None = None) -> DataFrame:
+    """Rows of a listing in the shape of the scan; bytes are not read."""
+    return rows.select(
         "path",
         F.lit(None).cast("timestamp").alias("modificationTime"),
-        F.lit(0).cast("bigint").alias("length"),
-        F.lit(b"").alias("content"),
+        "length",
+        (F.lit(None).cast("binary") if content is None else content).alias("content"),
     )
-    return as_files(scan.unionByName(rows))
 
 
 def _listed_empty(spark: SparkSession, scan: DataFrame) -> DataFrame:
@@ -62,15 +72,3 @@ def files_from_table(table: DataFrame, path: Column, content: Column) -> DataFra
     """files from a table; ``content`` may be text or bytes."""
     raw = table.select(path.alias("path"), content.cast("binary").alias("content"))
     return as_files(raw.withColumn("length", F.octet_length("content").cast("bigint")))
-
-
-def spread(scan: DataFrame) -> DataFrame:
-    """A table scan over at least as many partitions as there are cores.
-
-    Extraction is bound by CPU, and a table in few row groups would leave cores idle.  Rows are
-    dealt out evenly, so hot keys do not matter; a scan that already has enough partitions, as any
-    large table has, is left alone and nothing is shuffled.  For scans only: counting the
-    partitions of a plan with shuffles would run them.
-    """
-    wanted = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(wanted) if scan.rdd.getNumPartitions() < wanted else scan

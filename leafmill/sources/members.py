@@ -7,7 +7,6 @@ their bytes never leave the JVM.
 
 from __future__ import annotations
 
-import io
 import re
 import sys
 import tarfile
@@ -58,9 +57,9 @@ def listing_plan(container: str) -> MemberPlan:
     return MemberPlan(container, (Selection("", 0),))
 
 
-def _zip_entries(data: bytes):
+def _zip_entries(data):
     """Name to (is_dir, usize, csize, read); a later entry of the same name replaces the earlier."""
-    archive = zipfile.ZipFile(io.BytesIO(data))
+    archive = zipfile.ZipFile(data)
     entries = {}
     for info in archive.infolist():
         if info.flag_bits & 0x1:
@@ -73,13 +72,18 @@ def _zip_entries(data: bytes):
     return entries
 
 
-def _tar_entries(data: bytes):
-    archive = tarfile.open(fileobj=io.BytesIO(data), mode="r:")
+def _tar_entries(data):
+    """As for zip; of an archive that is cut off or damaged, the entries before the damage."""
+    archive = tarfile.open(fileobj=data, mode="r:", errors="replace")
     entries = {}
-    for info in archive:
-        name = info.name + "/" if info.isdir() else info.name
-        read = (lambda i=info: archive.extractfile(i).read()) if info.isfile() else (lambda: b"")
-        entries[name] = (info.isdir(), info.size, info.size, read)
+    try:
+        for info in archive:
+            name = info.name + "/" if info.isdir() else info.name
+            read = (lambda i=info: archive.extractfile(i).read()) if info.isfile() else (lambda: b"")
+            entries[name] = (info.isdir(), info.size, info.size, read)
+    except (tarfile.TarError, OSError):
+        if not entries:
+            raise
     return entries
 
 
@@ -94,45 +98,82 @@ def _selected(entries, selection: Selection):
     return [name for _, name in sorted(found)]
 
 
-def read_container(data: bytes, plan: MemberPlan, budget: int) -> list[tuple]:
+def _text(value: str) -> str:
+    """A string that UTF-8 can hold; archive names and messages may carry anything."""
+    return value.encode("utf-8", "replace").decode()
+
+
+def _failure(exc: Exception) -> tuple:
+    return (None, None, None, None, None, _text(str(exc) or type(exc).__name__))
+
+
+def _members(data, plan: MemberPlan) -> Iterator[tuple]:
+    """Member tuples of one container, inflated one after another; raises where it cannot be read."""
+    source = pa.BufferReader(data)
+    entries = _zip_entries(source) if plan.container == "zip" else _tar_entries(source)
+    for selection in plan.selections:
+        for position, name in enumerate(_selected(entries, selection)):
+            is_dir, usize, csize, read = entries[name]
+            wanted = not is_dir and (selection.inflate is None or position < selection.inflate)
+            if max(usize, csize) >= 1 << 63:
+                raise ValueError(f"the size of {name} is beyond 64 bits")
+            yield _text(name), is_dir, usize, csize, read() if wanted else None, None
+
+
+def read_container(data, plan: MemberPlan) -> list[tuple]:
     """Member tuples of one container; one error tuple when it cannot be read."""
     try:
-        entries = _zip_entries(data) if plan.container == "zip" else _tar_entries(data)
-        out, inflated = [], 0
-        for selection in plan.selections:
-            for position, name in enumerate(_selected(entries, selection)):
-                is_dir, usize, csize, read = entries[name]
-                body = None
-                if not is_dir and (selection.inflate is None or position < selection.inflate):
-                    inflated += usize
-                    if inflated > budget:
-                        raise ValueError(f"members inflate beyond {budget} bytes")
-                    body = read()
-                out.append((name, is_dir, usize, csize, body, None))
-        return out
+        found = list(_members(data, plan))
+        if _bytes(found) > _ROW_BYTES:
+            raise ValueError("the wanted members inflate beyond what one row can hold")
+        return found
     except Exception as exc:  # a bad file is a row, never a failed task
-        return [(None, None, None, None, None, str(exc) or type(exc).__name__)]
+        return [_failure(exc)]
+
+
+# An Arrow or Spark row holds less than 2 GiB.
+_ROW_BYTES = (1 << 31) - (1 << 20)
+# Output is handed on when it reaches this size, however large the inputs of a batch inflate.
+_BATCH_BYTES = 64 << 20
+
 
+def _bytes(members: list[tuple]) -> int:
+    return sum(len(m[4] or b"") + len(m[0] or "") + 32 for m in members)
 
-def read_members(kind: Column, content: Column, plans: dict[str, MemberPlan], budget: int) -> Column:
+
+def _columns(members: list[tuple]) -> list[pa.Array]:
+    columns = list(zip(*members)) or [()] * len(_FIELDS)
+    return [pa.array(column, kind) for column, (_, kind) in zip(columns, _FIELDS)]
+
+
+def read_members(kind: Column, content: Column, plans: dict[str, MemberPlan]) -> Column:
     """ARRAY<member> of a container column; null where ``content`` is null."""
 
-    def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+    def rows(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[list[tuple] | None]:
         for kinds, contents in batches:
-            offsets, rows, valid = [0], [], []
             for k, c in zip(kinds, contents):
-                if c.is_valid:
-                    rows.extend(read_container(c.as_buffer().to_pybytes(), plans[k.as_py()], budget))
-                valid.append(c.is_valid)
-                offsets.append(len(rows))
-            columns = list(zip(*rows)) or [()] * len(_FIELDS)
-            items = pa.StructArray.from_arrays(
-                [pa.array(column, kind_) for column, (_, kind_) in zip(columns, _FIELDS)],
-                names=[name for name, _ in _FIELDS],
-            )
-            yield pa.ListArray.from_arrays(
-                pa.array(offsets, pa.int32()), items, mask=pa.array([not v for v in valid], pa.bool_())
-            )
+                yield read_container(c.as_buffer(), plans[k.as_py()]) if c.is_valid else None
+
+    def lists(held: list[list[tuple] | None]) -> pa.Array:
+        offsets, flat = [0], []
+        for members in held:
+            flat.extend(members or ())
+            offsets.append(len(flat))
+        items = pa.StructArray.from_arrays(_columns(flat), names=[name for name, _ in _FIELDS])
+        mask = pa.array([m is None for m in held], pa.bool_())
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), items, mask=mask)
+
+    def read(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        held, size = [], 0
+        for members in rows(batches):
+            more = _bytes(members or [])
+            if held and size + more > _BATCH_BYTES:
+                yield lists(held)
+                held, size = [], 0
+            held.append(members)
+            size += more
+        if held:
+            yield lists(held)
 
     read.__annotations__ = {
         "batches": Iterator[tuple[pa.Array, pa.Array]],
@@ -143,12 +184,35 @@ def read_members(kind: Column, content: Column, plans: dict[str, MemberPlan], bu
     return reader(kind, content)
 
 
-def explode_members(
-    files: DataFrame, container: str, name_rx: str = "", with_data: bool = True, budget: int = 1 << 30
-) -> DataFrame:
-    """One row per member; a container that cannot be read gives one row with its error."""
+def explode_members(files: DataFrame, container: str, name_rx: str = "", with_data: bool = True) -> DataFrame:
+    """One row per member; a container that cannot be read gives one row with its error.
+
+    Members are handed on as they are inflated, so a container may inflate to any size. A single member of 2 GiB or
+    more cannot be a row's value; it keeps its row, with an error in place of data.
+    """
     plan = MemberPlan(container, (Selection(name_rx, None if with_data else 0),))
-    members = read_members(F.lit(container), F.col("content"), {container: plan}, budget)
-    return files.select("path", members.alias("members")).select("path", F.inline_outer("members")).filter(
-        F.col("name").isNotNull() | F.col("error").isNotNull()
-    )
+    names = ["path", *(name for name, _ in _FIELDS)]
+
+    def members(content) -> Iterator[tuple]:
+        try:
+            for m in _members(content.as_buffer(), plan):
+                yield m if len(m[4] or b"") < _ROW_BYTES else (*m[:4], None, "the member is too large for one row")
+        except Exception as exc:  # a bad file is a row, never a failed task
+            yield _failure(exc)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column("path"), batch.column("content")):
+                held, size = [], 0
+                for m in members(content) if content.is_valid else ():
+                    more = _bytes([m])
+                    if held and size + more > _BATCH_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(held)), *_columns(held)], names)
+                        held, size = [], 0
+                    held.append(m)
+                    size += more
+                if held:
+                    yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(held)), *_columns(held)], names)
+
+    schema = "path string, name string, is_dir boolean, usize bigint, csize bigint, data binary, error string"
+    return files.select("path", "content").mapInArrow(run, schema)

@@ -7,7 +7,7 @@ from corpora.pack import tar_bytes, zip_bytes
 from leafmill import ParseOptions, parse_corpus, scan_files, summarise, write_reports
 from leafmill.operators.paged import PAGES_PER_GROUP, assemble_pages
 from leafmill.operators.routes import read_failures
-from leafmill.sources.files import spread
+from corpora.build import spread
 from leafmill.streaming.arrivals import parse_arrivals
 
 CORPUS = {
@@ -76,7 +76,7 @@ def directory(tmp_path_factory):
 
 
 def test_every_route(spark, directory):
-    rows = {r.file_name: r for r in parse_corpus(scan_files(spark, directory)).collect()}
+    rows = {r.file_name: r for r in parse_corpus(scan_files(spark, directory, keep_empty=True)).collect()}
     assert len(rows) == len(CORPUS)
     got = {name: (rows[name].type, rows[name].meta.format, rows[name].text) for name in WANT}
     assert got == WANT
@@ -107,7 +107,7 @@ def test_image_with_ocr(files):
 
 def test_read_failures(spark, directory):
     manifest = spark.createDataFrame([("a.txt",), ("gone/missing.txt",), ("gone/missing.txt",)], "path string")
-    found = scan_files(spark, directory).selectExpr("file_name AS path")
+    found = scan_files(spark, directory, keep_empty=True).selectExpr("file_name AS path")
     rows = read_failures(manifest, found).collect()
     assert len(rows) == 2
     r = rows[0]
@@ -116,13 +116,13 @@ def test_read_failures(spark, directory):
 
 
 def test_summary(spark, directory):
-    rows = {r.type: r for r in summarise(parse_corpus(scan_files(spark, directory))).collect()}
+    rows = {r.type: r for r in summarise(parse_corpus(scan_files(spark, directory, keep_empty=True))).collect()}
     assert rows["error"].files == rows["error"].failed == 4 and rows["error"].words == 0
     assert rows["text"].files == 2 and rows["text"].words == 4 and rows["text"].chars == 25
 
 
 def test_sinks(spark, directory, tmp_path):
-    source = scan_files(spark, directory)
+    source = scan_files(spark, directory, keep_empty=True)
     write_reports(source, str(tmp_path / "table"), ParseOptions(max_chars=1))
     rows = {r.export_name: r.report for r in spark.read.parquet(str(tmp_path / "table")).collect()}
     assert rows["a.md"].endswith("### Content\n\nplain  text\r\n") and "truncated" not in rows["a.md"]
@@ -151,7 +151,7 @@ def test_scan_keeps_empty_files(spark, tmp_path):
     for name, data in names.items():
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_bytes(data)
-    rows = scan_files(spark, str(tmp_path)).collect()
+    rows = scan_files(spark, str(tmp_path), keep_empty=True).collect()
     assert {r.path: bytes(r.content) for r in rows} == {f"file:{tmp_path}/{n}": d for n, d in names.items()}
     assert len(rows) == 4
     inventory = spark.createDataFrame([("file:/x/plain", 0), ("file:/x/full", 9)], "path string, length bigint")

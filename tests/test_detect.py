@@ -60,7 +60,7 @@ def test_text_sniff(column):
 
 def test_file_name(column):
     paths = ["/a/b.txt", "c:\\d\\e.md", "s3://x/y\\z.csv", "plain", "a/"]
-    assert column(paths, "string", X.file_name) == ["b.txt", "e.md", "z.csv", "plain", ""]
+    assert column(paths, "string", X.file_name) == ["b.txt", "e.md", "z.csv", "plain", "a/"]
 
 
 def test_every_suffix(column):

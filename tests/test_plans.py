@@ -63,14 +63,14 @@ def test_summary_shuffles_only_totals(stored):
 
 
 def test_scan_prunes_content_and_pushes_sizes(spark):
-    scan = scan_files(spark, SF, "*.parquet", keep_empty=False)
+    scan = scan_files(spark, SF, "*.parquet")
     assert "content" not in plan(scan.select("path", "file_size")).split("ReadSchema")[1].splitlines()[0]
     assert "EqualTo(length,0)" in plan(R.empty_files(scan))
 
 
 def test_manifest_reads_no_content(spark):
     manifest = spark.createDataFrame([("x",)], "path string")
-    text = plan(R.read_failures(manifest, scan_files(spark, SF, keep_empty=False)))
+    text = plan(R.read_failures(manifest, scan_files(spark, SF)))
     assert "content" not in text.split("ReadSchema")[1].splitlines()[0] and "LeftAnti" in text
 
 

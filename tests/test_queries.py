@@ -21,7 +21,7 @@ def test_entry(spark):
 
 def test_registry():
     assert set(QUERIES) <= set(E.queries())
-    assert set(CHECKS) == set(QUERIES) - {"corpus_scan"}
+    assert set(CHECKS) == set(QUERIES)
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
@@ -29,10 +29,3 @@ def test_query(spark, con, name):
     # One check selects rows that the smallest tables may lack.
     found = [d for d in differences(spark, con, SF, name) if d != "check has no rows"]
     assert found == []
-
-
-def test_scan(spark):
-    import os
-
-    rows = {r.file_name: r.file_size for r in E.queries()["corpus_scan"](spark, SF).collect()}
-    assert rows == {n: os.path.getsize(f"{SF}/{n}") for n in os.listdir(SF) if n.endswith(".parquet")}
