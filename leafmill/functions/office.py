@@ -38,8 +38,47 @@ def word_text(xml: Column) -> Column:
     return unescape(F.array_join(texts, ""))
 
 
+def _table_markup(xml: Column) -> Column:
+    """Markup of every table in the order of their start tags, each without the tables nested in it.
+
+    Start tags are numbered with a mark that no XML holds, so tables without nested ones are those without
+    a further mark; they are taken out level by level, as many times as tables are nested.
+    """
+    innermost = "<w:tbl\x01[^\x01]*\x01[^\x01]*?</w:tbl>"
+    pieces = F.split(F.replace(xml, F.lit("\x01"), F.lit("")), "<w:tbl(?=[ >])")
+    marked = F.array_join(
+        F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(F.concat(F.lit("<w:tbl\x01"), i.cast("string"), F.lit("\x01"), p))), ""
+    )
+    steps = F.transform(
+        F.regexp_extract_all(xml, F.lit("<w:tbl(?=[ >])|</w:tbl>"), 0), lambda t: F.when(F.startswith(t, F.lit("</")), -1).otherwise(1)
+    )
+    nesting = F.aggregate(
+        steps,
+        F.struct(F.lit(0).alias("now"), F.lit(0).alias("most")),
+        lambda a, d: F.struct((a["now"] + d).alias("now"), F.greatest(a["most"], a["now"] + d).alias("most")),
+        lambda a: a["most"],
+    )
+
+    def peel(state: Column, _: Column) -> Column:
+        return F.struct(
+            F.regexp_replace(state["rest"], innermost, "").alias("rest"),
+            F.concat(state["tables"], F.regexp_extract_all(state["rest"], F.lit(innermost), 0)).alias("tables"),
+        )
+
+    def tables(depth: Column) -> Column:
+        start = F.struct(marked.alias("rest"), string_array().alias("tables"))
+        taken = F.aggregate(F.sequence(F.lit(1), depth), start, peel, lambda a: a["tables"])
+        numbered = F.transform(taken, lambda t: F.struct(F.regexp_extract(t, "\x01([0-9]+)\x01", 1).cast("int").alias("at"), t.alias("xml")))
+        return F.when(depth > 0, F.transform(F.sort_array(numbered), lambda t: t["xml"])).otherwise(string_array())
+
+    return let(nesting, tables)
+
+
 def word_tables(xml: Column) -> Column:
-    """ARRAY<STRUCT<name, headers, rows>>: a row marked as header heads its table."""
+    """ARRAY<STRUCT<name, headers, rows>>: a row marked as header heads its table.
+
+    A nested table is a table of its own, after the one that holds it, and its text belongs to it alone.
+    """
 
     def cell_text(cell: Column) -> Column:
         return trim_ws(unescape(F.array_join(_word_runs(cell), "")))
@@ -69,7 +108,7 @@ def word_tables(xml: Column) -> Column:
 
         return let(F.filter(rows, lambda r: F.size(r["cells"]) > 0), split_header)
 
-    found = F.transform(F.regexp_extract_all(xml, F.lit(r"(?s)<w:tbl[ >].*?</w:tbl>"), 0), table)
+    found = F.transform(_table_markup(xml), table)
     return F.filter(found, lambda t: (F.size(t["headers"]) > 0) | (F.size(t["rows"]) > 0))
 
 

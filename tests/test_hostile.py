@@ -7,7 +7,7 @@ import pytest
 
 from corpora.pack import zip_bytes
 from leafmill import parse_corpus, scan_files
-from leafmill.functions import html, notebook
+from leafmill.functions import html, notebook, office
 from leafmill.functions.references import expand_references
 from leafmill.operators import long_tables as L
 from leafmill.operators.routes import container_documents
@@ -101,3 +101,15 @@ def test_json_as_a_whole(column):
 
 def test_references_with_leading_zeros(column):
     assert column(["&#00000065;&#x000000042;&#0;"], "string", expand_references) == ["AB&#0;"]
+
+
+def test_nested_word_tables(column):
+    def table(*rows):
+        cells = lambda r: "".join(f"<w:tc><w:p><w:t>{c}</w:t></w:p></w:tc>" for c in r)
+        return "<w:tbl>" + "".join(f"<w:tr>{cells(r)}</w:tr>" for r in rows) + "</w:tbl>"
+
+    inner = table(["i1"], ["i2"]).replace("<w:t>i2</w:t></w:p>", "<w:t>i2</w:t></w:p>" + table(["deep"]))
+    outer = table(["a"], ["b"], ["last"]).replace("<w:t>b</w:t></w:p>", "<w:t>b</w:t></w:p>" + inner)
+    (got,) = column([outer + table(["x" * 200_000])], "string", lambda v: office.word_tables(v))
+    assert [t.rows for t in got] == [[["a"], ["b"], ["last"]], [["i1"], ["i2"]], [["deep"]], [["x" * 200_000]]]
+    assert column(["no table", "<w:tbl><w:tr>", "</w:tbl>"], "string", lambda v: office.word_tables(v)) == [[], [], []]
