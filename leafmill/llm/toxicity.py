@@ -159,7 +159,7 @@ class _Landmarks:
                 for column in self.index[code].T:
                     some = np.flatnonzero(column >= 0)
                     out[at[some]] += np.float32(worth / _NORMS[n]) * self.values[column[some]]
-        return out.astype(float)
+        return out
 
     def fold(self, alpha: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and weights of the sum of landmarks weighted by alpha."""
@@ -175,13 +175,13 @@ def _values(strings: list[bytes], table: np.ndarray, bias: float) -> np.ndarray:
 
 def _linear_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float) -> tuple[np.ndarray, float]:
     """Squared-hinge machine by Newton steps on the rows inside the margin."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
+    x1 = np.hstack([x, np.ones((len(x), 1), np.float32)])
     w = np.zeros(x1.shape[1])
     ridge = np.eye(x1.shape[1])
     ridge[-1, -1] = 1e-3
     for _ in range(60):
-        active = y * (x1 @ w) < 1
-        xa, ca = x1[active], c * weight[active]
+        active = y * (x1 @ w.astype(np.float32)) < 1
+        xa, ca = x1[active].astype(float), c * weight[active]
         new = np.linalg.solve(ridge + 2 * (xa.T * ca) @ xa, 2 * (xa.T * ca) @ y[active])
         step = 1.0 if np.linalg.norm(new - w) < 1 else 0.7
         if np.linalg.norm(new - w) < 1e-6:
@@ -233,7 +233,7 @@ class Model:
         return out
 
 
-def train(toxic: list[str], clean: list[str], landmarks: int = 400, rounds: int = 5, c: float = 30.0) -> Model:
+def train(toxic: list[str], clean: list[str], landmarks: int = 256, rounds: int = 5, c: float = 30.0) -> Model:
     """Fit on toxic and clean texts; without one of the kinds, a model under which nothing is toxic.
 
     Landmarks are the strings that most set toxic documents apart, half as many clean strings near them, and the rest
@@ -258,14 +258,14 @@ def train(toxic: list[str], clean: list[str], landmarks: int = 400, rounds: int
     marks = marks + [pool[i] for i in np.argsort(-near, kind="stable")[: landmarks // 4]]
     marks = list(dict.fromkeys(marks + others[: landmarks - len(marks)]))
     base = _Landmarks(marks)
-    values, vectors = np.linalg.eigh(base.kernel(marks))
+    values, vectors = np.linalg.eigh(base.kernel(marks).astype(float))
     good = values > 1e-5 * values.max()
-    root = vectors[:, good] / np.sqrt(values[good])
+    root = (vectors[:, good] / np.sqrt(values[good])).astype(np.float32)
 
     # The first guess of each toxic bag's string is its most telling one; a bag without any waits for the machine.
     telling = set(strong)
     chosen = [max((s for s in b if s in telling), key=lambda s: (seen[s], s), default=None) for b in bags]
-    negatives = dict.fromkeys([*pool[:4000], *(pool[i] for i in np.argsort(-near, kind="stable")[:4000])])
+    negatives = dict.fromkeys([*pool[:3000], *(pool[i] for i in np.argsort(-near, kind="stable")[:2000])])
     inside = [sorted(s for s in b if len(s) >= 3 and s not in plain) for b in bags]
     model = Model()
     for _ in range(rounds):
@@ -275,11 +275,11 @@ def train(toxic: list[str], clean: list[str], landmarks: int = 400, rounds: int
         y = np.concatenate([np.ones(len(names) + len(bent)), -np.ones(len(no))])
         weight = np.concatenate([np.sqrt([positive[s] for s in names]), np.full(len(bent), 0.3), np.ones(len(no))])
         w, b = _linear_svm(x, y, weight, c)
-        model = Model(*base.fold(root @ w), b)
+        model = Model(*base.fold(root.astype(float) @ w), b)
         table = model.table()
         # Clean strings that the machine finds toxic join the negatives; bags choose anew among what it finds toxic.
         wrong = _values(others, table, b)
-        negatives |= dict.fromkeys(others[i] for i in np.argsort(-wrong, kind="stable")[:4000] if wrong[i] > -1)
+        negatives |= dict.fromkeys(others[i] for i in np.argsort(-wrong, kind="stable")[:1500] if wrong[i] > -1)
         for k, own in enumerate(inside):
             if own:
                 value = _values(own, table, b)
@@ -287,7 +287,11 @@ def train(toxic: list[str], clean: list[str], landmarks: int = 400, rounds: int
                     chosen[k] = own[int(value.argmax())]
     tops = [document_maximum(pa.array(part), model.table(), model.bias) for part in (toxic, clean)]
     target = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
-    model.slope, model.offset = _logistic(np.concatenate(tops), target)
+    model.slope, offset = _logistic(np.concatenate(tops), target)
+    # A document with one plain insult must pass, though those of the training sample hold several: the border lies just
+    # above nearly all clean documents, and no higher than the logistic puts it.
+    border = min(-offset / model.slope, max(0.0, float(np.quantile(tops[1], 0.998))) + 0.1)
+    model.offset = -model.slope * border
     return model
 
 
