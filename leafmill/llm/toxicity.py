@@ -233,7 +233,7 @@ class Model:
         return out
 
 
-def train(toxic: list[str], clean: list[str], landmarks: int = 256, rounds: int = 5, c: float = 30.0) -> Model:
+def train(toxic: list[str], clean: list[str], landmarks: int = 320, rounds: int = 6, c: float = 30.0) -> Model:
     """Fit on toxic and clean texts; without one of the kinds, a model under which nothing is toxic.
 
     Landmarks are the strings that most set toxic documents apart, half as many clean strings near them, and the rest
@@ -273,7 +273,7 @@ def train(toxic: list[str], clean: list[str], landmarks: int = 256, rounds: int
         names, no = sorted(positive), list(negatives)
         x = base.kernel([*names, *bent, *no]) @ root
         y = np.concatenate([np.ones(len(names) + len(bent)), -np.ones(len(no))])
-        weight = np.concatenate([np.sqrt([positive[s] for s in names]), np.full(len(bent), 0.3), np.ones(len(no))])
+        weight = np.concatenate([np.sqrt([positive[s] for s in names]), np.full(len(bent), 0.3), np.sqrt([plain[s] for s in no])])
         w, b = _linear_svm(x, y, weight, c)
         model = Model(*base.fold(root.astype(float) @ w), b)
         table = model.table()
@@ -288,9 +288,10 @@ def train(toxic: list[str], clean: list[str], landmarks: int = 256, rounds: int
     tops = [document_maximum(pa.array(part), model.table(), model.bias) for part in (toxic, clean)]
     target = np.concatenate([np.ones(len(toxic)), np.zeros(len(clean))])
     model.slope, offset = _logistic(np.concatenate(tops), target)
-    # A document with one plain insult must pass, though those of the training sample hold several: the border lies just
-    # above nearly all clean documents, and no higher than the logistic puts it.
-    border = min(-offset / model.slope, max(0.0, float(np.quantile(tops[1], 0.998))) + 0.1)
+    # A document with one plain insult must pass, though those of the training sample hold several: the border lies halfway
+    # from nearly all clean documents to where the logistic puts it.
+    low, high = max(0.0, float(np.quantile(tops[1], 0.998))), -offset / model.slope
+    border = max(low, (low + high) / 2)
     model.offset = -model.slope * border
     return model
 
