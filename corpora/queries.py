@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpora import build as B
+from corpora import expected as X
 from corpora import sql as S
-from leafmill.functions import archive, delimited, detect, html, notebook, office, report, text
-from leafmill.operators import documents as D
+from leafmill.functions import archive, delimited, detect, html, office, report, text
 from leafmill.operators import long_tables as L
 from leafmill.operators import routes as R
 from leafmill.operators.paged import assemble_pages
@@ -134,7 +134,7 @@ def empty_files(spark, d):
     return R.empty_files(files).select("file_name", "file_size", "type", "text", "total_chars")
 
 
-_ALL_SUFFIXES = [*detect.EXTENSION_TYPES, "py", "tif", "MD", "Tar"]
+_ALL_SUFFIXES = [*X.EXTENSION_TYPES, "py", "tif", "MD", "Tar"]
 _SUFFIX_SQL = S.pick(_ALL_SUFFIXES, "doc_id")
 
 
@@ -174,10 +174,10 @@ def detect_type(spark, d):
     return corpus.detect(B.bytes_files(spark, d)).select("file_name", "type", "ext", "confidence")
 
 
-_KNOWN = sorted({*corpus.TEXT_TYPES, *corpus.member_plans(ParseOptions()), *D.NOTICE_TYPES, "xls"})
+_KNOWN = sorted(X.KNOWN_TYPES)
 _UNKNOWN_TEXT = (
     "'Unrecognized file type: ' || type || ' (extension: ' || ext || ').' || chr(10) || 'File size: ' || file_size || ' bytes.' || chr(10) || "
-    f"'{D.UNKNOWN_TAIL}'"
+    f"'{X.UNKNOWN_TAIL}'"
 )
 
 
@@ -195,16 +195,16 @@ def _sized(label: str, tail: str) -> str:
 
 
 _NOTICE_CASES = " ".join(
-    f"WHEN type = '{t}' THEN {_sized(D.NOTICE_LABELS[t], tail)}" for t, tail in D.NOTICE_TAILS.items()
+    f"WHEN type = '{t}' THEN {_sized(X.NOTICE_LABELS[t], tail)}" for t, tail in X.NOTICE_TAILS.items()
 )
 _NOTICES = f"""
-SELECT file_name, CASE WHEN list_contains({S.text_list(D.IMAGE_TYPES)}, type) THEN 'image' ELSE type END AS type,
+SELECT file_name, CASE WHEN list_contains({S.text_list(X.IMAGE_TYPES)}, type) THEN 'image' ELSE type END AS type,
   CASE type WHEN 'rar' THEN 'RAR' WHEN '7z' THEN '7z' WHEN 'gz' THEN 'GZip' WHEN 'mobi' THEN 'MOBI' WHEN 'pdf' THEN 'PDF'
     ELSE upper(regexp_extract(file_name, '[^.]*$')) END AS format,
-  CASE {_NOTICE_CASES} WHEN type = 'mobi' THEN 'MOBI file: ' || file_name || '. {D.MOBI_TAIL}'
-    WHEN type = 'pdf' THEN {_sized('PDF', D.PDF_TAIL)}
-    ELSE 'Image file: ' || file_name || ' (' || printf('%.1f', round(file_size / 1024.0, 1)) || ' KB). {D.IMAGE_TAIL}' END AS text
-FROM ({S.DETECTED}) WHERE list_contains({S.text_list(D.NOTICE_TYPES)}, type)
+  CASE {_NOTICE_CASES} WHEN type = 'mobi' THEN 'MOBI file: ' || file_name || '. {X.MOBI_TAIL}'
+    WHEN type = 'pdf' THEN {_sized('PDF', X.PDF_TAIL)}
+    ELSE 'Image file: ' || file_name || ' (' || printf('%.1f', round(file_size / 1024.0, 1)) || ' KB). {X.IMAGE_TAIL}' END AS text
+FROM ({S.DETECTED}) WHERE list_contains({S.text_list(X.NOTICE_TYPES)}, type)
 """
 
 
@@ -237,7 +237,7 @@ SELECT file_name, type, total_chars, text, octets AS file_size FROM (
     CASE {_DOC_TYPE} WHEN 'markdown' THEN {S.clean('text')} WHEN 'xml' THEN {S.clean('text')} ELSE text END AS text,
     length(CASE {_DOC_TYPE} WHEN 'markdown' THEN {S.clean('text')} WHEN 'xml' THEN {S.clean('text')} ELSE text END) AS total_chars FROM documents)
 """
-_INVALID_LENGTH = len(notebook.INVALID_TEXT)
+_INVALID_LENGTH = len(X.INVALID_NOTEBOOK)
 
 
 @query(
@@ -254,7 +254,7 @@ UNION ALL SELECT 'deck_' || doc_id || '.pptx', 'error', 0 FROM documents
 UNION ALL SELECT 'empty_' || doc_id || '.md', 'empty', 0 FROM documents
 UNION ALL SELECT 'code_' || doc_id || '.py', 'unknown', 0 FROM documents
 UNION ALL SELECT 'plain_' || doc_id, 'text', length(text) FROM documents
-UNION ALL SELECT 'old_' || doc_id || '.rar', 'rar', length({_sized('RAR', D.NOTICE_TAILS['rar'])}) FROM
+UNION ALL SELECT 'old_' || doc_id || '.rar', 'rar', length({_sized('RAR', X.NOTICE_TAILS['rar'])}) FROM
   (SELECT doc_id, 'old_' || doc_id || '.rar' AS file_name, {S.octets('text')} AS file_size FROM documents)
 """
 )
@@ -411,7 +411,7 @@ def page_documents(spark, d):
 
 
 @query(
-    f"SELECT name || '_cut.ipynb' AS file_name, 'ipynb' AS type, 'IPYNB' AS format, '{notebook.INVALID_TEXT}' AS text FROM ({S.notebooks()}) WHERE has_system"
+    f"SELECT name || '_cut.ipynb' AS file_name, 'ipynb' AS type, 'IPYNB' AS format, '{X.INVALID_NOTEBOOK}' AS text FROM ({S.notebooks()}) WHERE has_system"
 )
 def notebook_invalid(spark, d):
     rows = R.notebook_documents(B.notebooks(spark, d)).filter(c("meta.format") == "IPYNB")

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from corpora import build as B
-from leafmill.functions.core import WS
-from leafmill.functions.detect import EXTENSION_TYPES, SIGNATURES, ZIP_BASED
-from leafmill.operators import documents as D
+from corpora.expected import EXTENSION_TYPES, SIGNATURES, WS, ZIP_BASED
 
 WS_TEXT = "'" + WS + "'"
 NL = "chr(10)"
@@ -332,6 +330,3 @@ def report(source: str) -> str:
         f"format('{{:,}}', length(text)) || {NL} || {NL} || {note} || "
         f"(CASE WHEN text = '' THEN '' ELSE '### Content' || {NL} || {NL} || text END)"
     )
-
-
-UNKNOWN_TAIL = D.UNKNOWN_TAIL
