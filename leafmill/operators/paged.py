@@ -28,34 +28,32 @@ def assemble_pages(pages: DataFrame, opts: ParseOptions = ParseOptions()) -> Dat
     """
     limit = opts.max_pages if opts.max_pages and opts.max_pages > 0 else None
     run = F.floor(F.col("page_no") / PAGES_PER_GROUP)
-    info = {f: F.max(F.col("info")[k]).alias(f) for f, k in INFO_KEYS.items()}
-
-    shown = pages.select("path", "page_no", "text")
-    if limit is not None:
+    sums = [F.count(F.lit(1)).alias("pages"), F.sum(F.octet_length("text")).cast("bigint").alias("file_size")]
+    info = [F.max(F.col("info")[k]).alias(f) for f, k in INFO_KEYS.items()]
+
+    def joined(key: str):
+        """Texts of a group in the order of the key."""
+        ordered = F.sort_array(F.collect_list(F.struct(key, "text")))
+        return F.array_join(F.transform(ordered, lambda p: p["text"]), "").alias("text")
+
+    if limit is None:
+        # One scan: a run's text and sums together, then those of a path.
+        runs = pages.groupBy("path", run.alias("_run")).agg(joined("page_no"), *sums, *info)
+        found = runs.groupBy("path").agg(
+            joined("_run"), *[F.sum(c).alias(c) for c in ("pages", "file_size")], *[F.max(f).alias(f) for f in INFO_KEYS]
+        )
+    else:
         rank = F.row_number().over(W.partitionBy("path").orderBy("page_no", "text"))
-        shown = shown.withColumn("_rank", rank).filter(F.col("_rank") <= limit).drop("_rank")
-
-    def joined(parts, key: str):
-        ordered = F.sort_array(F.collect_list(F.struct(key, parts)))
-        return F.array_join(F.transform(ordered, lambda p: p[parts]), "")
-
-    texts = (
-        shown.groupBy("path", run.alias("_run"))
-        .agg(F.sort_array(F.collect_list(F.struct("page_no", "text"))).alias("_pages"))
-        .select("path", "_run", F.array_join(F.transform("_pages", lambda p: p["text"]), "").alias("text"))
-        .groupBy("path")
-        .agg(joined("text", "_run").alias("text"))
-    )
-    totals = pages.groupBy("path").agg(
-        F.count(F.lit(1)).alias("pages"), F.sum(F.octet_length("text")).cast("bigint").alias("file_size"), *info.values()
-    )
+        shown = pages.select("path", "page_no", "text").withColumn("_rank", rank).filter(F.col("_rank") <= limit)
+        texts = shown.groupBy("path", run.alias("_run")).agg(joined("page_no")).groupBy("path").agg(joined("_run"))
+        found = pages.groupBy("path").agg(*sums, *info).join(texts, "path", "left")
     doc = document(
         "pdf",
         clean_text(F.col("text")),
         format="PDF",
         **{f: F.col(f) for f in ["pages", *INFO_KEYS]},
     )
-    documents = totals.join(texts, "path", "left").select(
+    documents = found.select(
         "path", F.element_at(F.split("path", r"[/\\]"), -1).alias("file_name"), "file_size", doc.alias("doc")
     )
     return envelope(documents, opts)
