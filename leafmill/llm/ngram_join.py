@@ -32,7 +32,7 @@ _NO_ID = -(1 << 63)
 _HOT = 1 << 16
 _U = np.uint64
 _BYTES = 4 << 20
-_SKETCH = 32
+_SKETCH = 16
 
 
 @cache
@@ -409,10 +409,20 @@ def sketches(texts: DataFrame, width: int) -> DataFrame:
             np.bitwise_xor.at(bits, (s.row, (h % _U(_SKETCH)).astype(np.int64)), _U(1) << (h >> _U(58)))
             cuts = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * _SKETCH)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), pa.ListArray.from_arrays(cuts, pa.array(bits.ravel().view(np.int64)))], ["id", "bits"]
+                [batch.column("id"), pa.array(s.size), pa.ListArray.from_arrays(cuts, pa.array(bits.ravel().view(np.int64)))],
+                ["id", "n", "bits"],
             )
 
-    return texts.select("id", "text").mapInArrow(run, "id long, bits array<long>")
+    return texts.select("id", "text").mapInArrow(run, "id long, n long, bits array<long>")
+
+
+def _near(pairs: DataFrame, sketch: DataFrame, similar: float) -> DataFrame:
+    """The pairs (a, b) whose sketches allow them to be similar."""
+    for side in ("a", "b"):
+        pairs = pairs.join(sketch.select(F.col("id").alias(side), F.col("n").alias(f"n{side}"), F.col("bits").alias(f"bits{side}")), side)
+    flipped = F.zip_with("bitsa", "bitsb", lambda p, q: F.bit_count(p.bitwiseXOR(q)))
+    differ = F.aggregate(flipped, F.lit(0), lambda total, n: total + n)
+    return pairs.where(differ <= (F.col("na") + F.col("nb")) * ((1 - similar) / (1 + similar)) + 1e-9).select("a", "b")
 
 
 def _cross(apart: DataFrame, sketch: DataFrame, similar: float, block: int = 256) -> DataFrame:
@@ -430,7 +440,7 @@ def _cross(apart: DataFrame, sketch: DataFrame, similar: float, block: int = 256
     every = y.join(blocks, "key").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), F.col("y").alias("id"), F.col("cy").alias("c"), F.col("sy").alias("size")
     )
-    rows = queries.unionByName(every).join(sketch.join(keys, "id"), "id")
+    rows = queries.unionByName(every).join(sketch.drop("n").join(keys, "id"), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, None
@@ -501,6 +511,8 @@ def join(docs: DataFrame, width: int = WIDTH, similar: float = 0.75) -> DataFram
     texts = keep(
         docs.select(_doc_key(), "text").join(reps.join(involved, "id"), "doc_id").select("id", "hash0", "text"), "ngram-texts"
     )
+    sketch = keep(sketches(texts, width), "ngram-sketches")
+    pairs = keep(_near(pairs, sketch, similar), "ngram-near")
     # First each set with one neighbour; a pair within a component that this gives needs no comparison.
     rank = F.xxhash64(F.lit(3), "b")
     arcs = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -523,7 +535,6 @@ def join(docs: DataFrame, width: int = WIDTH, similar: float = 0.75) -> DataFram
 
     links, comp = more(links, across(pairs).join(first, ["a", "b"], "left_anti"))
     # Sets tied by common keys, where these are still apart.
-    sketch = keep(sketches(texts.join(common.select(F.col("rep").alias("id")).distinct(), "id", "left_semi"), width), "ngram-sketches")
     links, comp = more(links, _cross(_apart(common, comp, rep_of), sketch, similar))
 
     known = named.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
