@@ -338,7 +338,7 @@ def held_out(doc_id: str = "doc_id", fold: int = 5):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % fold == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 1000, most_clean: int = 2000, fold: int = 5) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 600, most_clean: int = 1200, fold: int = 5) -> Model:
     """Train on labelled rows outside the held-out fold: at most that many of each label, in order of a hash of the id."""
     known = labels.where(~held_out("doc_id", fold) & F.col("toxic").isNotNull()).select("doc_id", "toxic").distinct()
     parts = [
