@@ -82,3 +82,37 @@ def test_fit_and_score(spark, docs, odd_rows):
     # Labels of the held-out fold change nothing.
     flipped = labels.withColumn("toxic", F.when(tox.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     assert (tox.fit(df, flipped).values == model.values).all()
+
+
+def test_insults_split_by_blanks(model):
+    texts = [prose(1, 30, 600) + f" {x} " + prose(2, 30, 600) for x in ("n  i  t  w  i  t", "s\tc o  u n\nd r e l", "nit wit", "scoun drel")]
+    assert all(predicted(model, texts))
+    # A line break of another kind of blank is no part of a word, and an empty line parts sentences.
+    assert not any(predicted(model, [prose(1, 30, 600) + f" {x} " + prose(2, 30, 600) for x in ("n i", "scou\n\nnd")]))
+
+
+def test_sentences_of_ordinary_words():
+    # Every word of the phrase is common in clean documents; only the phrase tells.
+    def text(seed, toxic):
+        rng = random.Random(seed)
+        lines = [[f"w{rng.randrange(200)}" for _ in range(8)] for _ in range(5)]
+        for line in lines:
+            line.insert(rng.randrange(9), rng.choice(["nobody", "wants", "here"]))
+        if toxic:
+            lines[rng.randrange(5)][3:3] = ["nobody", "wants", "you", "here"]
+        else:
+            lines[rng.randrange(5)][3:3] = ["you"]
+        return " ".join(" ".join(line) + "." for line in lines)
+
+    model = tox.train([text(i, True) for i in range(150)], [text(1000 + i, False) for i in range(300)])
+    assert sum(predicted(model, [text(5000 + i, True) for i in range(50)])) >= 48
+    assert sum(predicted(model, [text(7000 + i, False) for i in range(50)])) <= 2
+    # Not across the end of a sentence.
+    assert predicted(model, ["w1 w2 w3 nobody wants you here w4.", "w1 w2 w3 nobody wants. You w7. Here w4."]) == [True, False]
+
+
+def test_letters_beyond_ascii_differ():
+    points = np.array([ord(x) for x in "дурюсéßü"])
+    assert len(set(tox._classes(points).tolist())) == len(points)
+    a, b = (tox._Landmarks(["дурак".encode()]).kernel([x.encode()])[0, 0] for x in ("дурак", "шыфжц"))
+    assert a > 0.5 and b == 0
