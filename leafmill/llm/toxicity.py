@@ -424,7 +424,7 @@ def train(toxic: list[str], clean: list[str], landmarks: int = 320, rounds: int
     whole = (bags.kind[first] > 0) & (bags.hi[first] - bags.lo[first] > 3)
     # Smoothed log odds: one quotation or wrong label among the clean documents does not take a string out.
     odds = np.log((seen + 0.5) / (len(toxic) + 1)) - np.log((plain + 0.5) / (len(clean) + 1))
-    favoured = whole & (plain == 0)
+    favoured = whole & (odds >= _TELLING)
     strong = _strong(bags, which, first, favoured & _surprising(seen, plain, len(toxic) / (len(toxic) + len(clean))))
     if not len(strong):
         return Model()
@@ -433,7 +433,7 @@ def train(toxic: list[str], clean: list[str], landmarks: int = 320, rounds: int
     told[strong] = True
     # A clean-labelled document with such a string contradicts its label and gives no negatives.
     doubtful = np.zeros(len(toxic) + len(clean), bool)
-    doubtful[bags.owner[told[which] & bad]] = True
+    doubtful[bags.owner[told[which]]] = True
     trusted = ~bad & ~doubtful[bags.owner]
     counter = np.zeros(n_names, bool)
     counter[which[trusted]] = True

@@ -116,3 +116,11 @@ def test_letters_beyond_ascii_differ():
     assert len(set(tox._classes(points).tolist())) == len(points)
     a, b = (tox._Landmarks(["дурак".encode()]).kernel([x.encode()])[0, 0] for x in ("дурак", "шыфжц"))
     assert a > 0.5 and b == 0
+
+
+def test_a_few_wrong_labels_change_little():
+    # Two in a hundred clean labels stand on toxic documents; each insult is thus in some clean-labelled document.
+    toxic, clean = [bad(i) for i in range(150)], [prose(5000 + i, 40, 600) for i in range(400)]
+    model = tox.train(toxic, clean + [bad(3000 + i) for i in range(9)])
+    assert sum(predicted(model, [bad(1000 + i) for i in range(60)])) >= 58
+    assert sum(predicted(model, [prose(9000 + i, 40, 600) for i in range(60)])) <= 1
