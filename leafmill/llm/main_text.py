@@ -23,6 +23,9 @@ _TAG = re.compile(
     re.S,
 )
 _ATTRIBUTE = re.compile(r"""([^\s"'=<>/]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>]+)""")
+_QUOTED = re.compile(r"""=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""")
+_HIDDEN = re.compile(r"(?i)(?:^|[\s\"])hidden(?:[\s=/\"]|$)")
+_FORM = re.compile(r"(?i)<form[\s/>]")
 _NAME_PART = re.compile(r"[a-z]+")
 
 # HTML elements.
@@ -40,7 +43,7 @@ ALIKE = {x: frozenset(g.split()) for g in ("li", "dt dd", "td th", "tr", "option
 SCOPE = frozenset("ul ol dl table article main section body html div aside nav header footer form".split())
 # Elements, roles and words in class or id that mark what is never main text.
 DROP = frozenset(
-    "head nav footer aside form menu dialog button select option input svg math canvas audio video object map datalist".split()
+    "head nav footer aside menu dialog button select option input svg math canvas audio video object map datalist".split()
 ) | RAW
 DROP_ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog toolbar".split())
 DROP_NAMES = frozenset(
@@ -51,6 +54,8 @@ DROP_NAMES = frozenset(
     "widget widgets".split()
 )
 _CONTENT = frozenset("article main".split())
+# What may stand in a head; any other tag ends it, as does text.
+_IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript object script style template title".split())
 _ABOUT = frozenset("with without has no".split())
 
 
@@ -61,9 +66,12 @@ class _Element:
         self.tag, self.drop, self.inside, self.label = tag, drop, inside, label
 
 
-def _open(tag: str, attributes: str, parent: _Element) -> _Element:
-    """The element with its context: dropped or not, inside a labelled element, label of the nearest named container."""
-    label, drop = "", tag in DROP
+def _open(tag: str, attributes: str, parent: _Element, wraps: bool) -> _Element:
+    """The element with its context: dropped or not, inside a labelled element, label of the nearest named container.
+
+    A form that wraps most of the page is no reason to drop.
+    """
+    label, drop = "", tag in DROP or (tag == "form" and not wraps)
     if attributes:
         for name, value in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), value.strip("\"'").lower()
@@ -76,11 +84,11 @@ def _open(tag: str, attributes: str, parent: _Element) -> _Element:
                     label, drop = f".{bad}", True
                 elif parts and not label and name == "class":
                     label = f".{parts[0][:20]}"
-            elif name == "role" and value in DROP_ROLES:
+            elif name == "role" and value in DROP_ROLES and not (wraps and value == "form"):
                 label, drop = f"@{value}", True
             elif name == "aria-hidden" and value == "true":
                 drop = True
-        if re.search(r"(?i)(?:^|\s)hidden(?:\s|=|/|$)", attributes):
+        if _HIDDEN.search(_QUOTED.sub('""', attributes)):
             drop = True
     if tag == "header" and not parent.inside:
         drop = True
@@ -94,20 +102,49 @@ def _open(tag: str, attributes: str, parent: _Element) -> _Element:
     return _Element(tag, drop or parent.drop, inside, label)
 
 
+def _wrapping_forms(page: str) -> frozenset[int]:
+    """Which forms of the page, by their numbers, hold more than half of its words that nothing else drops."""
+    total, n, form, held = 0, 0, None, defaultdict(int)
+    for feature, text, _, dropped, _ in _scan(page, None):
+        if text:
+            if not dropped:
+                count = len(text.split())
+                total += count
+                held[form] += count
+        elif feature[2:7] == "form ":
+            n, form = n + 1, n
+        elif feature[2:8] == "/form ":
+            form = None
+    return frozenset(f for f, count in held.items() if f is not None and 2 * count > total)
+
+
 def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
+    """As _scan, with forms dropped unless they wrap most of the page."""
+    return _scan(page, _wrapping_forms(page) if _FORM.search(page) else frozenset())
+
+
+def _scan(page: str, wrapping: frozenset[int] | None) -> Iterator[tuple[str, str, bool, bool, bool]]:
     """(feature, text, breaks a block, dropped, inside a labelled element) per tag (empty text) and text piece.
 
-    The opening tag of an element that is dropped as a whole has a feature of its own kind, d.
+    The opening tag of an element that is dropped as a whole has a feature of its own kind, d. wrapping: numbers of the
+    forms that are not dropped, None for all.
     """
     stack = [_Element("", False, False, "")]
-    at, block, link, last = 0, "", 0, page.rfind(">") + 1
+    at, block, link, last, forms = 0, "", 0, page.rfind(">") + 1, 0
 
     def piece(text: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
         if text:
             top = stack[-1]
             yield f"w {block} {top.label} {'a' if link else ''}", text, False, top.drop, top.inside
 
+    def leave_head() -> None:
+        """End a head that was not closed: nothing that a head may hold is open above it."""
+        if stack[-1].tag == "head":
+            stack.pop()
+
     while m := _TAG.search(page, at, last):
+        if stack[-1].tag == "head" and page[at : m.start()].strip():
+            leave_head()
         yield from piece(page[at : m.start()])
         at = m.end()
         tag = m[2] or m[5]
@@ -129,6 +166,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
                 del stack[depth:]
             yield f"t /{tag} {top.label}", "", tag not in INLINE, top.drop, top.inside and tag not in _CONTENT
         else:
+            if tag not in _IN_HEAD:
+                leave_head()
             if tag in ENDS_P or tag in ALIKE:
                 same = ALIKE.get(tag, ("p",))
                 for depth in range(len(stack) - 1, 0, -1):
@@ -138,7 +177,9 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
                     if stack[depth].tag in SCOPE:
                         break
             parent = stack[-1]
-            element = _open(tag, attributes, parent)
+            wraps = tag == "form" and (wrapping is None or forms in wrapping)
+            forms += tag == "form"
+            element = _open(tag, attributes, parent, wraps)
             kind = "d" if element.drop and not parent.drop else "t"
             yield f"{kind} {tag} {element.label}", "", tag not in INLINE, element.drop, parent.inside
             if tag in RAW:
@@ -150,6 +191,8 @@ def tokens(page: str) -> Iterator[tuple[str, str, bool, bool, bool]]:
                 stack.append(element)
         block = next((e.tag for e in reversed(stack) if e.tag not in INLINE), "")
         link = any(e.tag == "a" for e in stack[-4:])
+    if stack[-1].tag == "head" and page[at:].strip():
+        leave_head()
     yield from piece(page[at:])
 
 

@@ -71,3 +71,24 @@ def test_fitted_weights_find_what_the_prior_cannot(spark):
     weights = mt.fit(pages, least=10)
     assert weights["t div div.zq"] < -2
     assert {r.page_id: r.text for r in mt.extract(pages, weights).collect()}[99] == f"{P} {Q}"
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        # A head without an end ends at what cannot stand in it.
+        (f"<html><head><title>T</title><meta charset=utf-8><body>{MENU}<article><p>{P}</p></article>{FOOT}</body></html>", P),
+        (f"<head><title>T</title><link rel=x><p>{P}</p>", P),
+        (f"<head><title>T</title> {P}", P),
+        (f"<head><title>T</title><script>var x;</script><style>p{{}}</style></head><body><p>{P}</p>", P),
+        # A form around the page is no form in the page.
+        (f"<body><form id='aspnetForm' role='form' method=post>{MENU}<div><p>{P}</p><p>{Q}</p></div>{FOOT}</form></body>", f"{P} {Q}"),
+        (f"<body><form><article><p>{P}</p><select><option>{Q} {Q}</select></article></form><form><p>Name</p></form>", P),
+        (f"<article><p>{P}</p><form><p>Leave your name and mail</p></form><p>{Q}</p></article>", f"{P} {Q}"),
+        # hidden counts as the name of an attribute only.
+        ("<article><p>see <a href=x title='a hidden gem'>this</a> <b class=\"card hidden lg\">one</b></p></article>", "see this one"),
+        ("<article><p>a <i title=hidden>b</i> <i class=\"x\" hidden>c</i><i hidden=\"\">d</i><i id='y'hidden>e</i></p></article>", "a b"),
+    ],
+)
+def test_pages_of_other_makes(page, text):
+    assert mt.main_text(page, {}) == text
