@@ -11,7 +11,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations_with_replacement
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -27,9 +29,11 @@ STATS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SYMBOLS = "#*$%&|<>"
 
 DIMS = ("x0", "x1", "x2", "x3", "x4")
-# Least standard deviation of each dimension: differences below it are ordinary variation in any source. Length says
-# little about quality, so its floor is wide.
-FLOORS = (1.6, 0.15, 0.3, 0.35, 0.35)
+# Standard deviation of a dimension in which the nearest rows do not differ at all, so that it can be inverted: a few
+# symbols, a repeated line or a repeated passage are no outlier by themselves. It fades as the estimate itself grows to it.
+FLOORS = (0.02, 0.02, 0.3, 0.35, 0.35)
+# Share of the pooled robust scatter that is added to that of each group.
+_RIDGE = 0.01
 _PAIRS = list(combinations_with_replacement(range(len(DIMS)), 2))
 _POOLED = "all"
 _SALTS = 8
@@ -132,8 +136,9 @@ def distance() -> Column:
 _PARAMS = "g string, n double, " + ", ".join(f"m{i} double" for i in range(len(DIMS))) + "".join(f", p{i}{j} double" for i, j in _PAIRS)
 
 
-def _precision(center: np.ndarray, scatter: np.ndarray) -> dict:
-    inverse = np.linalg.inv(scatter + np.diag(np.square(FLOORS)))
+def _precision(center: np.ndarray, scatter: np.ndarray, pooled: np.ndarray) -> dict:
+    scatter = scatter + _RIDGE * pooled
+    inverse = np.linalg.inv(scatter + np.diag(np.maximum(0.0, np.square(FLOORS) - np.diag(scatter))))
     return {f"m{i}": center[i] for i in range(len(DIMS))} | {f"p{i}{j}": inverse[i, j] for i, j in _PAIRS}
 
 
@@ -164,7 +169,7 @@ def _concentrate(moments: DataFrame, scale: float, prior: float) -> DataFrame:
                     gap = (center - center0)[:, None]
                     scatter = (1 - share) * scatter + share * scatter0 + share * (1 - share) * gap * gap.T
                     center = (1 - share) * center + share * center0
-                out.append({"g": row["g"], "n": row["n"], **_precision(center, scatter)})
+                out.append({"g": row["g"], "n": row["n"], **_precision(center, scatter, scatter0)})
             yield pd.DataFrame(out, columns=[c.split()[0] for c in _PARAMS.split(", ")])
 
     return moments.mapInPandas(run, _PARAMS)
@@ -176,10 +181,21 @@ def _with(rows: DataFrame, groups: DataFrame) -> DataFrame:
     return rows.join(salted, ["g", "salt"])
 
 
-def robust_groups(rows: DataFrame, share: float = 0.75, steps: int = 3, prior: float = 50.0) -> DataFrame:
+def _moved(new: DataFrame, old: DataFrame) -> bool:
+    """Whether the centre of any group moved by more than a hundredth of its spread; quantiles are no more exact."""
+    gaps = [
+        F.abs(new[f"s{i}"] / new["n"] - old[f"s{i}"] / old["n"])
+        > 0.01 * F.sqrt(F.greatest(new[f"q{i}{i}"] / new["n"] - F.pow(new[f"s{i}"] / new["n"], 2), F.lit(FLOORS[i] ** 2)))
+        for i in range(len(DIMS))
+    ]
+    return not new.join(old, new["g"] == old["g"]).where(reduce(or_, gaps)).isEmpty()
+
+
+def robust_groups(rows: DataFrame, share: float = 0.75, steps: int = 20, prior: float = 50.0) -> DataFrame:
     """Centre and precision per group g over rows (g, salt, DIMS), each row also counted in the pooled group.
 
-    Starts from medians and median absolute deviations, then takes concentration steps. With share of the rows kept in
+    Starts from medians and median absolute deviations, then takes concentration steps until the nearest rows stay the same,
+    at most that many. With share of the rows kept in
     a step, scatter is rescaled to be consistent for normal data.
     """
     k = len(DIMS)
@@ -191,10 +207,11 @@ def robust_groups(rows: DataFrame, share: float = 0.75, steps: int = 3, prior: f
     params = spread.select(
         "g",
         *[f"m{i}" for i in range(k)],
-        *[(1 / (F.pow(1.4826 * F.col(f"d{i}"), 2) + FLOORS[i] ** 2) if i == j else F.lit(0.0)).alias(f"p{i}{j}") for i, j in _PAIRS],
+        *[(1 / F.greatest(F.pow(1.4826 * F.col(f"d{i}"), 2), F.lit(FLOORS[i] ** 2)) if i == j else F.lit(0.0)).alias(f"p{i}{j}") for i, j in _PAIRS],
     )
     cut = chi2_quantile(share, k)
     scale = share / chi2_cdf(cut, k + 2)
+    before = None
     for step in range(steps):
         far = _with(rows, params).select("g", "salt", *DIMS, distance().alias("d"))
         near = far.groupBy("g").agg(F.percentile_approx("d", share, 1000).alias("limit"))
@@ -208,11 +225,15 @@ def robust_groups(rows: DataFrame, share: float = 0.75, steps: int = 3, prior: f
                 *[F.sum(F.col(DIMS[i]) * F.col(DIMS[j])).alias(f"q{i}{j}") for i, j in _PAIRS],
             )
         )
-        params = _concentrate(keep(moments, f"quality-{step}"), scale, prior)
+        moments = keep(moments, f"quality-{step}")
+        params = _concentrate(moments, scale, prior)
+        if before is not None and not _moved(moments, before):
+            break
+        before = moments
     return params
 
 
-def judge(docs: DataFrame, tail: float = 1e-4, share: float = 0.75, steps: int = 3, prior: float = 50.0) -> DataFrame:
+def judge(docs: DataFrame, tail: float = 1e-4, share: float = 0.75, steps: int = 20, prior: float = 50.0) -> DataFrame:
     """Every row of docs (doc_id, text, lang, source) with its statistics and verdict.
 
     Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed (fewer than 10 words, or over 20 % of

@@ -45,6 +45,14 @@ def test_outliers_go_and_clean_documents_stay(docs):
     assert kept == {i for i, *_ in clean}
 
 
+def test_one_dimension_alone_can_reject(docs):
+    # Lengths of the source differ by a fifth; one document is four hundred times as long and has nothing else odd.
+    rows = [(i, prose(i, 60 + i % 15, 100_000), "en", "s") for i in range(600)]
+    got = {r.doc_id: r for r in quality.judge(docs([*rows, (1000, prose(5, 26_000, 10_000_000), "en", "s")])).collect()}
+    assert not got[1000].base_failed and not got[1000].kept
+    assert sum(got[i].kept for i in range(600)) >= 598
+
+
 def test_robust_estimate_is_near_the_bulk(spark):
     rng = np.random.default_rng(1)
     x = np.vstack([rng.normal(0, 1, (4000, 5)) * [3, 2, 1, 1, 1] + 5, np.full((600, 5), 60.0)])
