@@ -207,11 +207,11 @@ def prior(feature: str) -> float:
 
 
 def weight(feature: str, dropped: bool, inside: bool, weights: dict[str, float]) -> float:
-    """Weight of a token. An element that is dropped counts once, little inside a labelled element: it is left out of the
-    text anyway, and a form in an article must not cut it in two.
+    """Weight of a token. An element that is dropped counts once, and not at all inside a labelled element: it is left out
+    of the text anyway, and scripts or a form in an article must not cut it in two.
     """
     if dropped:
-        return 0.0 if feature[0] != "d" else -0.5 if inside else -3.0
+        return 0.0 if feature[0] != "d" or inside else -3.0
     w = weights.get(feature)
     return prior(feature) if w is None else w
 
