@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import decontamination, main_text, mixing, ngram_join, quality, sharding, substrings, token_output, toxicity, warc
+from leafmill.llm import decontamination, main_text, manifest, mixing, ngram_join, quality, sharding, substrings, token_output, toxicity, warc
 from leafmill.llm.checks import CHECKS  # noqa: F401
 from leafmill.llm.scratch import new_path
 
@@ -64,6 +64,10 @@ def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove(_table(spark, sf_dir, "documents")).drop("kept")
 
 
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -75,5 +79,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_ngram_join": op8_ngram_join,
     "op9_token_output": op9_token_output,
     "op10_substrings": op10_substrings,
+    "op11_manifest": op11_manifest,
 }
 
