@@ -55,4 +55,31 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(d.doc_id, coal
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN reach ON reach.x = d.doc_id GROUP BY d.doc_id
 """
 
-CHECKS = {"op7_warc": WARC, "op8_ngram_join": NGRAM_JOIN, "op10_substrings": SUBSTRINGS}
+NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS vec
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND NOT coalesce(list_bool_or(list_transform(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))), false)
+), a AS (
+  SELECT vec_id AS anchor_id, label AS a_label, vec AS a_vec FROM v WHERE vec_id % 50 = 0
+), s AS (
+  SELECT anchor_id, a_label, vec_id, label,
+         coalesce(list_sum(list_transform(list_zip(a_vec, vec), lambda t: coalesce(t[1] * t[2], 0))), 0) AS score
+  FROM a, v
+), pos AS (
+  SELECT anchor_id, a_label, vec_id AS positive_id, score AS positive_score
+  FROM (SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS r
+        FROM s WHERE label = a_label AND vec_id <> anchor_id)
+  WHERE r <= 5
+), neg AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS rank
+  FROM pos p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> p.a_label
+   AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE rank <= 3
+"""
+
+CHECKS = {"op12_negatives": NEGATIVES, "op7_warc": WARC, "op8_ngram_join": NGRAM_JOIN, "op10_substrings": SUBSTRINGS}

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import decontamination, main_text, manifest, mixing, ngram_join, quality, sharding, substrings, token_output, toxicity, warc
+from leafmill.llm import decontamination, main_text, manifest, mixing, negatives, ngram_join, quality, sharding, substrings, token_output, toxicity, warc
 from leafmill.llm.checks import CHECKS  # noqa: F401
 from leafmill.llm.scratch import new_path
 
@@ -68,6 +68,10 @@ def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(_table(spark, sf_dir, "documents"))
 
 
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -80,5 +84,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_output": op9_token_output,
     "op10_substrings": op10_substrings,
     "op11_manifest": op11_manifest,
+    "op12_negatives": op12_negatives,
 }
 
