@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from leafmill.llm import decontamination, main_text, manifest, mixing, negatives, ngram_join, quality, sharding, substrings, token_output, toxicity, warc
+from leafmill.llm import decontamination, main_text, manifest, mixing, negatives, ngram_join, quality, sharding, substrings, token_output, toxicity, url_filter, warc
 from leafmill.llm.checks import CHECKS  # noqa: F401
 from leafmill.llm.scratch import new_path
 
@@ -72,6 +72,10 @@ def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return negatives.mine(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(_table(spark, sf_dir, "pages"), _table(spark, sf_dir, "documents")).drop("host_words")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -85,5 +89,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substrings": op10_substrings,
     "op11_manifest": op11_manifest,
     "op12_negatives": op12_negatives,
+    "op13_url_filter": op13_url_filter,
 }
 
