@@ -7,6 +7,7 @@ their bytes never leave the JVM.
 
 from __future__ import annotations
 
+import io
 import re
 import sys
 import tarfile
@@ -58,7 +59,10 @@ def listing_plan(container: str) -> MemberPlan:
 
 
 def _zip_entries(data):
-    """Name to (is_dir, usize, csize, read); a later entry of the same name replaces the earlier."""
+    """Name to (is_dir, usize, csize, open); a later entry of the same name replaces the earlier.
+
+    open() gives a file object that inflates as it is read; it never gives more than the declared size.
+    """
     archive = zipfile.ZipFile(data)
     entries = {}
     for info in archive.infolist():
@@ -68,7 +72,7 @@ def _zip_entries(data):
         if not info.flag_bits & 0x800:
             # Names without the UTF-8 flag are UTF-8 in practice.
             name = info.orig_filename.encode("cp437", "replace").decode("utf-8", "replace")
-        entries[name] = (name.endswith("/"), info.file_size, info.compress_size, lambda i=info: archive.read(i))
+        entries[name] = (name.endswith("/"), info.file_size, info.compress_size, lambda i=info: archive.open(i))
     return entries
 
 
@@ -79,8 +83,8 @@ def _tar_entries(data):
     try:
         for info in archive:
             name = info.name + "/" if info.isdir() else info.name
-            read = (lambda i=info: archive.extractfile(i).read()) if info.isfile() else (lambda: b"")
-            entries[name] = (info.isdir(), info.size, info.size, read)
+            opener = (lambda i=info: archive.extractfile(i)) if info.isfile() else (lambda: io.BytesIO(b""))
+            entries[name] = (info.isdir(), info.size, info.size, opener)
     except (tarfile.TarError, OSError):
         if not entries:
             raise
@@ -107,17 +111,50 @@ def _failure(exc: Exception) -> tuple:
     return (None, None, None, None, None, _text(str(exc) or type(exc).__name__))
 
 
-def _members(data, plan: MemberPlan) -> Iterator[tuple]:
-    """Member tuples of one container, inflated one after another; raises where it cannot be read."""
+def _wanted(data, plan: MemberPlan) -> Iterator[tuple]:
+    """(name, is_dir, usize, csize, open or None) per listed member, open where it is to be inflated."""
     source = pa.BufferReader(data)
     entries = _zip_entries(source) if plan.container == "zip" else _tar_entries(source)
     for selection in plan.selections:
         for position, name in enumerate(_selected(entries, selection)):
-            is_dir, usize, csize, read = entries[name]
+            is_dir, usize, csize, opener = entries[name]
             wanted = not is_dir and (selection.inflate is None or position < selection.inflate)
             if max(usize, csize) >= 1 << 63:
                 raise ValueError(f"the size of {name} is beyond 64 bits")
-            yield _text(name), is_dir, usize, csize, read() if wanted else None, None
+            yield _text(name), is_dir, usize, csize, opener if wanted else None
+
+
+def _pieces(opener, most: int) -> Iterator[bytes]:
+    """The member's bytes in pieces of at most most bytes, read a megabyte at a time."""
+    with opener() as stream:
+        piece = bytearray()
+        while chunk := stream.read(min(_CHUNK, most - len(piece))):
+            piece += chunk
+            if len(piece) == most:
+                yield bytes(piece)
+                piece = bytearray()
+        if piece:
+            yield bytes(piece)
+
+
+def _members(data, plan: MemberPlan) -> Iterator[tuple]:
+    """Member tuples of one container whose wanted members fit one row together; raises where it cannot be read.
+
+    Declared sizes are checked against what is left of the row before a member is inflated, and reading stops as
+    soon as the bytes pass it, so a small container that would inflate beyond a row costs no memory to refuse.
+    """
+    left = _ROW_BYTES
+    for name, is_dir, usize, csize, opener in _wanted(data, plan):
+        body = None
+        if opener is not None:
+            if usize > left:
+                raise ValueError("the wanted members inflate beyond what one row can hold")
+            pieces = list(_pieces(opener, left + 1))
+            body = b"".join(pieces)
+            if len(body) > left:
+                raise ValueError("the wanted members inflate beyond what one row can hold")
+            left -= len(body)
+        yield name, is_dir, usize, csize, body, None
 
 
 def read_container(data, plan: MemberPlan) -> list[tuple]:
@@ -135,6 +172,9 @@ def read_container(data, plan: MemberPlan) -> list[tuple]:
 _ROW_BYTES = (1 << 31) - (1 << 20)
 # Output is handed on when it reaches this size, however large the inputs of a batch inflate.
 _BATCH_BYTES = 64 << 20
+# Members are inflated this much at a time; a row of the member table holds at most _PIECE_BYTES of one member.
+_CHUNK = 1 << 20
+_PIECE_BYTES = 64 << 20
 
 
 def _bytes(members: list[tuple]) -> int:
@@ -185,20 +225,33 @@ def read_members(kind: Column, content: Column, plans: dict[str, MemberPlan]) ->
 
 
 def explode_members(files: DataFrame, container: str, name_rx: str = "", with_data: bool = True) -> DataFrame:
-    """One row per member; a container that cannot be read gives one row with its error.
+    """One row per member and piece; a container that cannot be read gives one row with its error.
 
-    Members are handed on as they are inflated, so a container may inflate to any size. A single member of 2 GiB or
-    more cannot be a row's value; it keeps its row, with an error in place of data.
+    A member is inflated a megabyte at a time and handed on in pieces of at most 64 MB, numbered from 0 in `piece`
+    (concatenated in that order they are the member), so a member or a container may inflate to any size while a
+    task holds one batch. Members without data (folders, not wanted) have one row with piece 0 and null data; an empty
+    member has one row with empty data. A container damaged midway gives the rows before the damage and an error row.
     """
     plan = MemberPlan(container, (Selection(name_rx, None if with_data else 0),))
-    names = ["path", *(name for name, _ in _FIELDS)]
+    names = ["path", *(name for name, _ in _FIELDS), "piece"]
 
     def members(content) -> Iterator[tuple]:
         try:
-            for m in _members(content.as_buffer(), plan):
-                yield m if len(m[4] or b"") < _ROW_BYTES else (*m[:4], None, "the member is too large for one row")
+            for name, is_dir, usize, csize, opener in _wanted(content.as_buffer(), plan):
+                if opener is None:
+                    yield name, is_dir, usize, csize, None, None, 0
+                    continue
+                count = 0
+                for count, piece in enumerate(_pieces(opener, _PIECE_BYTES), 1):
+                    yield name, is_dir, usize, csize, piece, None, count - 1
+                if count == 0:
+                    yield name, is_dir, usize, csize, b"", None, 0
         except Exception as exc:  # a bad file is a row, never a failed task
-            yield _failure(exc)
+            yield (*_failure(exc), None)
+
+    def batch_of(path, held):
+        columns = _columns([m[:6] for m in held])
+        return pa.RecordBatch.from_arrays([pa.array([path] * len(held)), *columns, pa.array([m[6] for m in held], pa.int32())], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,12 +260,12 @@ def explode_members(files: DataFrame, container: str, name_rx: str = "", with_da
                 for m in members(content) if content.is_valid else ():
                     more = _bytes([m])
                     if held and size + more > _BATCH_BYTES:
-                        yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(held)), *_columns(held)], names)
+                        yield batch_of(path.as_py(), held)
                         held, size = [], 0
                     held.append(m)
                     size += more
                 if held:
-                    yield pa.RecordBatch.from_arrays([pa.array([path.as_py()] * len(held)), *_columns(held)], names)
+                    yield batch_of(path.as_py(), held)
 
-    schema = "path string, name string, is_dir boolean, usize bigint, csize bigint, data binary, error string"
+    schema = "path string, name string, is_dir boolean, usize bigint, csize bigint, data binary, error string, piece int"
     return files.select("path", "content").mapInArrow(run, schema)

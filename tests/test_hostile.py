@@ -113,3 +113,51 @@ def test_nested_word_tables(column):
     (got,) = column([outer + table(["x" * 200_000])], "string", lambda v: office.word_tables(v))
     assert [t.rows for t in got] == [[["a"], ["b"], ["last"]], [["i1"], ["i2"]], [["deep"]], [["x" * 200_000]]]
     assert column(["no table", "<w:tbl><w:tr>", "</w:tbl>"], "string", lambda v: office.word_tables(v)) == [[], [], []]
+
+
+def zero_zip(name: str, size: int) -> bytes:
+    """A deflated zip with one member of size zero bytes, written in pieces."""
+    import zipfile
+
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z, z.open(name, "w", force_zip64=True) as member:
+        block = bytes(16 << 20)
+        for start in range(0, size, len(block)):
+            member.write(block[: min(len(block), size - start)])
+    return out.getvalue()
+
+
+def test_bomb_is_refused_before_inflating():
+    """A zip of a few MB whose member inflates to 2.4 GB: an error row, without holding the inflated bytes."""
+    import tracemalloc
+
+    from leafmill.sources.members import MemberPlan, Selection, read_container
+
+    data = zero_zip("word/document.xml", 2_400_000_000)
+    assert len(data) < 12 << 20
+    tracemalloc.start()
+    got = read_container(data, MemberPlan("zip", (Selection(""),)))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got[0][5] == "the wanted members inflate beyond what one row can hold"
+    assert peak < 300 << 20
+
+
+def test_long_member_as_pieces(files, monkeypatch):
+    """A member beyond a piece comes out as numbered pieces whose lengths add up to it."""
+    from pyspark.sql import functions as F
+
+    from leafmill.sources import members as M
+
+    monkeypatch.setattr(M, "_PIECE_BYTES", 8 << 20)
+    size = 150_000_001
+    rows = (
+        explode_members(files(("big.zip", zero_zip("big.bin", size)), ("small.zip", zip_bytes([("a", b"xy"), ("e", b"")]))), "zip")
+        .select("path", "name", "piece", "usize", F.length("data").alias("n"), "error")
+        .collect()
+    )
+    big = sorted((r.piece, r.n) for r in rows if r.path.endswith("big.zip"))
+    assert [p for p, _ in big] == list(range(len(big))) and len(big) == 18
+    assert sum(n for _, n in big) == size and all(n <= 8 << 20 for _, n in big)
+    small = sorted((r.name, r.piece, r.n) for r in rows if r.path.endswith("small.zip"))
+    assert small == [("a", 0, 2), ("e", 0, 0)]
