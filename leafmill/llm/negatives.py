@@ -171,7 +171,7 @@ def _choose(frame: pd.DataFrame, positives: int, negatives: int, lo: int, hi: in
     """Answer of one anchor from its candidates and whether the unvisited cells can no longer change it."""
     after = float(frame.after.iloc[0])
     margin = 1e-9 * (abs(after) + 1) + 1e-6 if math.isfinite(after) else 0.0
-    frame = frame.sort_values(["score", "vec_id", "rid"], ascending=[False, True, True], kind="stable")
+    frame = frame.drop_duplicates("rid").sort_values(["score", "vec_id", "rid"], ascending=[False, True, True], kind="stable")
     same = frame[(frame.label == frame.a_label) & (frame.rid != frame.a_rid)].head(positives)
     other = frame[frame.label != frame.a_label]
     below = lambda s: after == -math.inf or after + margin < s  # noqa: E731  every unvisited score is below s
@@ -201,6 +201,7 @@ def mine(
     first_budget: int = 8,
     growth: int = 4,
     piece_rows: int = 2_048,
+    anchor_rows: int = 512,
     seed: int = 7,
 ) -> DataFrame:
     """Hard negatives of every anchor (vec_id divisible by every) of embeddings (vec_id, embedding, label): OUT rows."""
@@ -225,15 +226,33 @@ def mine(
         ),
         "negatives-anchors",
     )
+    blocks = keep(
+        members.groupBy("c1", "c2", "piece").agg(F.collect_list(F.struct("rid", F.coalesce("vec_id", F.lit(NO_ID)).alias("vec_id"), "label", "vec")).alias("rows")),
+        "negatives-blocks",
+    )
+    n_anchors = pending.count()
+    groups = max(1, -(-n_anchors // anchor_rows))
     done, budget, total = [], first_budget, len(index.sizes)
-    dot = F.aggregate(F.zip_with("a_vec", "vec", lambda a, b: F.coalesce(a * b, F.lit(0))), F.lit(0).cast("long"), lambda s, x: s + x)
     marks = OUT + ", certified boolean, a_rid long"
+    found = "a_rid long, anchor_id long, a_label int, after double, rid long, vec_id long, label int, score long"
     while True:
         last = budget >= total
-        visits = _visits(pending, index, total if last else budget, pieces)
-        candidates = visits.join(members, ["c1", "c2", "piece"]).select(
-            "a_rid", "anchor_id", "a_label", "after", "rid", F.coalesce("vec_id", F.lit(NO_ID)).alias("vec_id"), "label", dot.alias("score")
+        visits = _visits(pending, index, total if last else budget, pieces).withColumn(
+            "group", (F.abs(F.xxhash64("a_rid")) % groups).cast("int")
         )
+        visits = keep(visits, "negatives-visits")
+
+        def asked(extra: list) -> DataFrame:
+            """Per block and group of anchors: the anchors that visit it, beside the block's rows."""
+            wanted = visits.groupBy("c1", "c2", "piece", "group").agg(
+                F.collect_list(F.struct("a_rid", "anchor_id", "a_label", "a_vec", "after", *extra)).alias("anchors")
+            )
+            return wanted.join(blocks, ["c1", "c2", "piece"]).select("anchors", "rows")
+
+        same = asked([]).mapInArrow(_scan(index.dim, positives + 1, None, lo, hi), found)
+        wins = same.groupBy("a_rid").applyInPandas(_windows(positives), "a_rid long, wins array<long>")
+        visits = visits.join(wins, "a_rid", "left").withColumn("wins", F.coalesce("wins", F.array().cast("array<long>")))
+        other = asked(["wins"]).mapInArrow(_scan(index.dim, None, negatives, lo, hi), found)
 
         def answer(frame: pd.DataFrame) -> pd.DataFrame:
             rows, sure = _choose(frame, positives, negatives, lo, hi)
@@ -241,7 +260,7 @@ def mine(
             out = [(*r, sure, a_rid) for r in rows] or [(None, None, None, None, None, None, sure, a_rid)]  # a null anchor_id marks an anchor without rows
             return pd.DataFrame(out, columns=[*(c.split()[0] for c in OUT.split(", ")), "certified", "a_rid"])
 
-        judged = keep(candidates.groupBy("a_rid").applyInPandas(answer, marks), "negatives-round")
+        judged = keep(same.unionByName(other).groupBy("a_rid").applyInPandas(answer, marks), "negatives-round")
         done.append(judged.where("certified AND anchor_id IS NOT NULL").drop("certified", "a_rid"))
         if last:
             break
@@ -254,3 +273,58 @@ def mine(
     for frame in done[1:]:
         result = result.unionByName(frame)
     return result
+
+
+def _ints(vectors, dim: int) -> np.ndarray:
+    out = np.zeros((len(vectors), dim), dtype=np.int64)
+    for i, v in enumerate(vectors):
+        v = [0 if x is None else x for x in v[:dim]]
+        out[i, : len(v)] = v
+    return out
+
+
+def _scan(dim: int, same: int | None, other: int | None, lo: int, hi: int):
+    """Scores of a block's rows for the anchors that visit it; emits per anchor the first `same` rows of its label
+    (itself included), or per window of its positives the first `other` rows of other labels: bounded per block."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for anchors, rows in zip(batch.column("anchors").to_pylist(), batch.column("rows").to_pylist()):
+                if not anchors or not rows:
+                    continue
+                m = _ints([r["vec"] for r in rows], dim)
+                rid = np.array([r["rid"] for r in rows], dtype=np.int64)
+                vid = np.array([r["vec_id"] for r in rows], dtype=np.int64)
+                lab = np.array([r["label"] for r in rows], dtype=np.int64)
+                scores = _ints([a["a_vec"] for a in anchors], dim) @ m.T
+                for a, s in zip(anchors, scores):
+                    order = np.lexsort((rid, vid, -s))
+                    if same is not None:
+                        picks = order[lab[order] == a["a_label"]][:same]
+                    else:
+                        pool = order[lab[order] != a["a_label"]]
+                        picks = np.unique(np.concatenate([
+                            pool[(100 * s[pool] >= lo * ps) & (100 * s[pool] <= hi * ps)][:other] for ps in a["wins"]
+                        ] or [np.zeros(0, dtype=np.int64)])).astype(np.int64)
+                    for k in picks:
+                        out.append((a["a_rid"], a["anchor_id"], a["a_label"], a["after"], int(rid[k]), int(vid[k]), int(lab[k]), int(s[k])))
+            columns = list(zip(*out)) or [()] * 8
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
+            names = ["a_rid", "anchor_id", "a_label", "after", "rid", "vec_id", "label", "score"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+
+    return run
+
+
+def _windows(positives: int):
+    """Scores of an anchor's positives from the blocks' first rows of its label."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame[frame.rid != frame.a_rid].drop_duplicates("rid")
+        frame = frame.sort_values(["score", "vec_id", "rid"], ascending=[False, True, True], kind="stable").head(positives)
+        if frame.empty:
+            return pd.DataFrame({"a_rid": pd.Series([], dtype="int64"), "wins": pd.Series([], dtype=object)})
+        return pd.DataFrame({"a_rid": [int(frame.a_rid.iloc[0])], "wins": [[int(x) for x in frame.score]]})
+
+    return run
