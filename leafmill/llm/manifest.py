@@ -15,10 +15,12 @@ How it runs:
 - Each level is one aggregation of at most FANOUT rows per group over the level below, written to the shared folder as
   parent-linked node rows (tree, source, level, pos, digest) and group rows (the children of one parent, with the
   coordinates of the parent's own group). Levels shrink by FANOUT, so all levels above the leaves cost a fifteenth of it.
-- The climb is a recursive SQL query: it starts at every leaf and joins, step by step, the group of its current node;
-  each step appends the node's siblings and folds the (possibly tampered) digest with them. At a subroot the climb
-  continues in the top tree. Each step's row holds that step's siblings only, so nothing grows with the depth squared;
-  the proof is the hash of all steps' siblings in order.
+- The climb is a recursive SQL query: it starts at every leaf and joins, step by step, the group of its current node,
+  folding the (possibly tampered) digest with the node's siblings; at a subroot it continues in the top tree. A step's
+  row holds ids, position and one digest, and only each leaf's last step is kept.
+- The proof's siblings are appended top-down instead, once per node rather than once per leaf: the root's tail is
+  empty, a node's tail is its siblings followed by its parent's tail. Tails are built level by level down to the nodes
+  above the leaves; a leaf's proof is the hash of its siblings and its parent's tail, joined by parent (16 leaves a key).
 
 Edge cases: a null doc_id sorts first in its source and is never tampered; rows equal in doc_id are ordered by leaf
 digest, so repeated rows give equal results in any order; null source is a tree of its own, first among sources; null
@@ -93,7 +95,9 @@ def _numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
     )
     on = (part == spans["part"]) & (ranged["gn"] == spans["s_gn"]) & ranged["source"].eqNullSafe(spans["s_source"])
     joined = ranged.join(spans, on)
-    return joined.select(*[ranged[c] for c in rows.columns], (F.col("mid") - F.col("first") + F.col("before")).alias("pos"), "n")
+    return joined.select(
+        *[ranged[c] for c in rows.columns], (F.col("mid") - F.col("first") + F.col("before")).alias("pos"), "n", F.col("mid").alias("lid")
+    )
 
 
 def _build(nodes: DataFrame, tree: int, depth: int) -> tuple[list[DataFrame], list[DataFrame]]:
@@ -130,29 +134,48 @@ def _build(nodes: DataFrame, tree: int, depth: int) -> tuple[list[DataFrame], li
 
 
 def _climb(spark, seed: DataFrame, groups: DataFrame) -> DataFrame:
-    """The recursive query: from every leaf up through its groups, one row per step."""
+    """The recursive query: from every leaf up through its groups, folding its digest with the siblings of each step.
+
+    Returns the last step of every leaf: lid, folded root and subroot.
+    """
     tag = uuid.uuid4().hex[:12]
     seed_view, groups_view = f"manifest_seed_{tag}", f"manifest_groups_{tag}"
     seed.createOrReplaceTempView(seed_view)
     groups.createOrReplaceTempView(groups_view)
     return spark.sql(
         f"""
-        WITH RECURSIVE climb(lkey, doc_id, leaf, tree, cgn, csource, level, pos, folded, subroot, step, sibs) AS (
-          SELECT lkey, doc_id, leaf, tree, cgn, csource, level, pos, folded, subroot, 0, X'' FROM {seed_view}
+        WITH RECURSIVE climb(lid, total, tree, cgn, csource, level, pos, folded, subroot, step) AS (
+          SELECT lid, total, tree, cgn, csource, level, pos, folded, subroot, 0 FROM {seed_view}
           UNION ALL
-          SELECT c.lkey, c.doc_id, c.leaf, g.next_tree, g.next_gn, g.next_source, g.next_level, g.next_pos,
+          SELECT c.lid, c.total, g.next_tree, g.next_gn, g.next_source, g.next_level, g.next_pos,
                  unhex(sha2(array_join(transform(g.children, x -> lower(hex(IF(x.pos = c.pos, c.folded, x.digest)))), ''), 256)),
                  IF(c.tree = 0 AND g.next_tree = 1, g.digest, c.subroot),
-                 c.step + 1,
-                 unhex(array_join(transform(filter(g.children, x -> x.pos != c.pos), x -> hex(x.digest)), ''))
+                 c.step + 1
           FROM climb c JOIN {groups_view} g
             ON g.tree = c.tree AND g.gn = c.cgn AND g.source <=> c.csource AND g.level = c.level AND g.parent = floor(c.pos / {FANOUT})
         )
-        SELECT * FROM climb
+        SELECT lid, folded, subroot FROM climb WHERE step = total
         """
     )
 
 
+def _siblings(children: Column, pos: Column) -> Column:
+    """Digests of the other children, concatenated in order (binary)."""
+    others = F.filter(children, lambda x: x["pos"] != pos)
+    return F.aggregate(others, F.lit(b"").cast("binary"), lambda acc, x: F.concat(acc, x["digest"]))
+
+
+def _descend(groups: DataFrame, above: DataFrame) -> DataFrame:
+    """Nodes of the level below groups (gn, source, level, parent, children) with their proof tail: siblings in the
+    group, then the tail of the parent (above: gn, source, pos, tail)."""
+    parent = above.select(F.col("gn").alias("p_gn"), F.col("source").alias("p_source"), F.col("pos").alias("p_pos"), "tail")
+    on = (groups["gn"] == parent["p_gn"]) & groups["source"].eqNullSafe(parent["p_source"]) & (groups["parent"] == parent["p_pos"])
+    joined = groups.join(parent, on).select("gn", "source", "children", "tail", F.explode("children").alias("child"))
+    return joined.select(
+        "gn", "source", F.col("child.pos").alias("pos"), F.concat(_siblings(F.col("children"), F.col("child.pos")), "tail").alias("tail")
+    )
+
+
 def manifest(docs: DataFrame) -> DataFrame:
     """doc_id, leaf, subroot, root, proof_sha256, folded_root and verified for every row of docs.
 
@@ -231,10 +254,10 @@ def manifest(docs: DataFrame) -> DataFrame:
 
     lone = F.col("n") == 1
     seeded = to_top(leaves, "source", lone)
+    depth = F.lit(levels(n_sources)) + _levels_of(F.col("n"))
     seed = seeded.select(
-        F.struct("gn", "source", "pos").alias("lkey"),
-        "doc_id",
-        "digest",
+        "lid",
+        depth.alias("total"),
         F.when(lone, 1).otherwise(0).alias("tree"),
         F.when(lone, 1).otherwise(F.col("gn")).alias("cgn"),
         F.when(lone, F.lit(None)).otherwise(F.col("source")).cast("string").alias("csource"),
@@ -242,38 +265,71 @@ def manifest(docs: DataFrame) -> DataFrame:
         F.when(lone, F.col("t_pos")).otherwise(F.col("pos")).alias("pos"),
         "folded",
         F.when(lone, F.col("digest")).alias("subroot"),
-    ).withColumnRenamed("digest", "leaf")
+    )
 
     previous = spark.conf.get("spark.sql.cteRecursionRowLimit", None)
     spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # every leaf climbs the whole way; rows grow with depth only
     try:
-        steps = keep(_climb(spark, seed, groups), "manifest-climb")
+        climbed = keep(_climb(spark, seed, groups), "manifest-climb")
     finally:
         if previous is None:
             spark.conf.unset("spark.sql.cteRecursionRowLimit")
         else:
             spark.conf.set("spark.sql.cteRecursionRowLimit", previous)
 
-    hexed = lambda c: F.lower(F.hex(c))
-    per_leaf = steps.groupBy("lkey").agg(
-        F.first("doc_id").alias("doc_id"),
-        F.first("leaf").alias("leaf"),
-        F.max("subroot").alias("subroot"),
-        F.max_by("folded", "step").alias("folded"),
-        F.sort_array(F.collect_list(F.struct("step", "sibs"))).alias("path"),
+    # Proof tails top-down: the root's is empty; a node's is its siblings, then its parent's tail.
+    above = top_levels[-1].where(F.col("n") == 1).select("gn", "source", "pos", F.lit(b"").cast("binary").alias("tail"))
+    for g in reversed(top_groups):
+        above = keep(_descend(g, above), "manifest-tails")
+    subroot_tails = keep(
+        above.join(tops.select(F.col("pos").alias("t_pos"), F.col("source").alias("s"), F.col("n").alias("_"), "digest"), F.col("pos") == F.col("t_pos"))
+        .select(F.lit(0).alias("gn"), F.col("s").alias("source"), "tail"),
+        "manifest-subroot-tails",
     )
-    proof = F.sha2(F.array_join(F.transform("path", lambda s: hexed(s["sibs"])), ""), 256)
-    return per_leaf.select(
+    depths = subroots.select(F.col("gn").alias("d_gn"), F.col("source").alias("d_source"), F.col("level").alias("depth"))
+    on = (subroot_tails["gn"] == depths["d_gn"]) & subroot_tails["source"].eqNullSafe(depths["d_source"])
+    subroot_tails = subroot_tails.join(depths, on).select("gn", "source", "depth", "tail")
+    tails = None
+    for level in range(len(source_groups) - 1, 0, -1):
+        here = subroot_tails.where(F.col("depth") == level + 1).select("gn", "source", F.lit(0).cast("long").alias("pos"), "tail")
+        here = here if tails is None else here.unionByName(tails)
+        tails = keep(_descend(source_groups[level], here), "manifest-tails")
+    first = subroot_tails.where(F.col("depth") == 1).select("gn", "source", F.lit(0).cast("long").alias("pos"), "tail")
+    first = first if tails is None else first.unionByName(tails)
+
+    hexed = lambda c: F.lower(F.hex(c))
+    proofs = []
+    if source_groups:
+        parent = first.select(F.col("gn").alias("p_gn"), F.col("source").alias("p_source"), F.col("pos").alias("p_pos"), "tail")
+        g0 = source_groups[0]
+        low = g0.join(parent, (g0["gn"] == parent["p_gn"]) & g0["source"].eqNullSafe(parent["p_source"]) & (g0["parent"] == parent["p_pos"]))
+        low = low.select(F.col("gn").alias("g_gn"), F.col("source").alias("g_source"), F.col("parent").alias("g_parent"), "children", "tail")
+        many = leaves.where(~lone)
+        on = (many["gn"] == low["g_gn"]) & many["source"].eqNullSafe(low["g_source"]) & (F.floor(many["pos"] / FANOUT) == low["g_parent"])
+        proofs.append(
+            many.join(low, on).select("lid", "doc_id", "digest", F.concat(_siblings(F.col("children"), F.col("pos")), "tail").alias("path"))
+        )
+    alone = leaves.where(lone)
+    own = subroot_tails.select(F.col("source").alias("o_source"), "tail")
+    proofs.append(alone.join(own, alone["source"].eqNullSafe(own["o_source"])).select("lid", "doc_id", "digest", F.col("tail").alias("path")))
+    proven = reduce(DataFrame.unionByName, proofs)
+    out = proven.join(climbed, "lid")
+    return out.select(
         "doc_id",
-        hexed(F.col("leaf")).alias("leaf"),
+        hexed(F.col("digest")).alias("leaf"),
         hexed(F.col("subroot")).alias("subroot"),
         hexed(root).alias("root"),
-        proof.alias("proof_sha256"),
+        F.sha2(hexed(F.col("path")), 256).alias("proof_sha256"),
         hexed(F.col("folded")).alias("folded_root"),
         (F.col("folded") == root).alias("verified"),
     )
 
 
+def _levels_of(n: Column) -> Column:
+    """levels() as a column: rounds of grouping until one node of n is left."""
+    return reduce(lambda a, b: a + b, [F.when(n > FANOUT**k, 1).otherwise(0) for k in range(16)])
+
+
 def source_groups_schema() -> str:
     return (
         "tree int, gn int, source string, level int, parent long, parent_n long, digest binary, "
