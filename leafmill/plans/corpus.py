@@ -117,7 +117,8 @@ def corpus_document(opts: ParseOptions) -> Column:
     """
     kind, size = F.col("type"), F.col("file_size")
     return (
-        F.when(size == 0, D.empty_document())
+        F.when(F.col("read_error").isNotNull(), D.read_failure_document(F.col("read_error")))
+        .when(size == 0, D.empty_document())
         .when(F.col("content").isNull(), D.read_failure_document(F.lit(TOO_LARGE)))
         .when(
             kind.isin(TEXT_TYPES),
@@ -134,6 +135,8 @@ def extract(detected: DataFrame, opts: ParseOptions) -> DataFrame:
     """path, file_name, file_size and the ``doc`` struct of every file."""
     # The text limit is the envelope's business.
     doc = corpus_document(opts.untruncated())
+    if "read_error" not in detected.columns:  # only a guarded scan reports files it could not open
+        detected = detected.withColumn("read_error", F.lit(None).cast("string"))
     return with_members(detected, opts).select("path", "file_name", "file_size", doc.alias("doc"))
 
 

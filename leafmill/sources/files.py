@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import errno
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +26,7 @@ def scan_files(
     recursive: bool = True,
     keep_empty: bool = False,
     inventory: DataFrame | None = None,
+    guarded: bool = False,
 ) -> DataFrame:
     """files: path, file_name, file_size, content.
 
@@ -34,7 +38,14 @@ def scan_files(
     Spark's file scans skip files of zero bytes.  They are added from an ``inventory`` (path,
     length), as object stores provide, or, with ``keep_empty``, from the listing of the scan: its
     names then pass through the driver, so that is for folders whose names fit there.
+
+    ``guarded``: a file that exists but cannot be opened or read (no permission, a folder in the inventory, a
+    damaged disk) becomes a row with ``read_error`` instead of ending the job. The scan skips what it cannot read;
+    paths of the listing (``inventory``, else the scan's own) that it did not deliver are then opened one by one in
+    tasks, and each failure is kept as its message. Empty files come the same way.
     """
+    if guarded:
+        return _guarded(spark, path, glob, recursive, inventory)
     reader = spark.read.format("binaryFile").option("ignoreMissingFiles", "true")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")
@@ -49,6 +60,68 @@ def scan_files(
     return as_files(reduce(DataFrame.unionByName, found))
 
 
+def _guarded(spark: SparkSession, path: str, glob: str | None, recursive: bool, inventory: DataFrame | None) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("ignoreMissingFiles", "true").option("ignoreCorruptFiles", "true")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    scan = reader.load(path)
+    most = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str((1 << 31) - 1)))
+    delivered = as_files(scan.filter(F.col("length") <= most)).withColumn("read_error", F.lit(None).cast("string"))
+    large = as_files(_without_content(scan.filter(F.col("length") > most))).withColumn("read_error", F.lit(None).cast("string"))
+    listed = _listed_empty(spark, scan) if inventory is None else inventory.select("path").join(scan.select("path"), "path", "left_anti")
+    opened = listed.select("path").mapInArrow(_open_each(most), "path string, length bigint, content binary, read_error string")
+    opened = opened.select("path", file_name(F.col("path")).alias("file_name"), F.col("length").alias("file_size"), "content", "read_error")
+    return reduce(DataFrame.unionByName, [delivered, large, opened])
+
+
+# Messages of failed opens, in the words of the usual file-system errors.
+_MESSAGES = {
+    errno.ENOENT: "ENOENT: no such file or directory, open '{}'",
+    errno.EACCES: "EACCES: permission denied, open '{}'",
+    errno.EPERM: "EPERM: operation not permitted, open '{}'",
+    errno.EISDIR: "EISDIR: illegal operation on a directory, read",
+}
+
+
+def read_guarded(path: str, most: int) -> tuple[int, bytes | None, str | None]:
+    """(length, content, error) of one file; content is None when it fails or holds more than most bytes."""
+    local = path[len("file:") :] if path.startswith("file:") else path
+    local = "/" + local.lstrip("/") if path.startswith("file:") else local
+    try:
+        if "://" in path and not path.startswith("file:"):
+            from pyarrow import fs
+
+            system, inner = fs.FileSystem.from_uri(path)
+            with system.open_input_stream(inner) as stream:
+                data = stream.read(most + 1)
+        else:
+            with open(local, "rb") as stream:
+                data = stream.read(most + 1)
+        return (len(data), None, None) if len(data) > most else (len(data), data, None)
+    except OSError as exc:
+        text = _MESSAGES.get(exc.errno, "{}: " + (exc.strerror or type(exc).__name__)).format(path)
+        return 0, None, text.encode("utf-8", "replace").decode()
+    except Exception as exc:  # any failure of one file is its row
+        return 0, None, (str(exc) or type(exc).__name__).encode("utf-8", "replace").decode()
+
+
+def _open_each(most: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths = batch.column("path").to_pylist()
+            found = [read_guarded(p, most) if p is not None else (0, None, "no path") for p in paths]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(paths, pa.string()), *(pa.array(c, k) for c, k in zip(zip(*found), (pa.int64(), pa.binary(), pa.string())))]
+                if found
+                else [pa.array([], pa.string()), pa.array([], pa.int64()), pa.array([], pa.binary()), pa.array([], pa.string())],
+                ["path", "length", "content", "read_error"],
+            )
+
+    return run
+
+
 def _without_content(rows: DataFrame, content: Column | None = None) -> DataFrame:
     """Rows of a listing in the shape of the scan; bytes are not read."""
     return rows.select(

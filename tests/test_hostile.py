@@ -161,3 +161,25 @@ def test_long_member_as_pieces(files, monkeypatch):
     assert sum(n for _, n in big) == size and all(n <= 8 << 20 for _, n in big)
     small = sorted((r.name, r.piece, r.n) for r in rows if r.path.endswith("small.zip"))
     assert small == [("a", 0, 2), ("e", 0, 0)]
+
+
+def test_guarded_scan_keeps_every_file(spark, tmp_path):
+    """Files that cannot be opened are error rows beside all others; the job does not end."""
+    from leafmill.sources.files import read_guarded
+
+    (tmp_path / "a.txt").write_text("alpha words")
+    (tmp_path / "b.md").write_text("# Title\n\ntext")
+    (tmp_path / "empty.txt").write_bytes(b"")
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "sub" / "c.txt").write_text("gamma")
+    base = "file:" + str(tmp_path)
+    listed = [f"{base}/a.txt", f"{base}/b.md", f"{base}/empty.txt", f"{base}/sub/c.txt", f"{base}/gone.txt", f"{base}/sub"]
+    inventory = spark.createDataFrame([(p,) for p in listed], "path string")
+    files = scan_files(spark, str(tmp_path), inventory=inventory, guarded=True)
+    rows = {r.path.rsplit("/", 1)[1]: r for r in parse_corpus(files).select("path", "type", "text").collect()}
+    assert set(rows) == {"a.txt", "b.md", "empty.txt", "c.txt", "gone.txt", "sub"}
+    assert rows["gone.txt"].type == "error" and "ENOENT: no such file or directory, open '" in rows["gone.txt"].text
+    assert rows["sub"].type == "error" and "EISDIR" in rows["sub"].text
+    assert rows["empty.txt"].type == "empty" and rows["a.txt"].text.startswith("alpha") or "alpha" in rows["a.txt"].text
+    assert read_guarded(str(tmp_path / "a.txt"), 5) == (6, None, None)  # beyond the limit: no content, no error
+    assert read_guarded(str(tmp_path / "a.txt"), 100)[1] == b"alpha words"
