@@ -142,10 +142,15 @@ def assign(rows: DataFrame, index: Index) -> DataFrame:
 def _visits(anchors: DataFrame, index: Index, budget: int, pieces: dict[tuple[int, int], int]) -> DataFrame:
     """(anchor, cell, piece) for the first budget cells of each anchor, with the bound of the next cell (-inf: none)."""
 
+    columns = ["a_rid", "anchor_id", "a_label", "c1", "c2", "piece", "after"]
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             out = []
             for rid, vec_id, label, vec in zip(frame.a_rid, frame.anchor_id, frame.a_label, frame.a_vec):
+                if len(out) >= 65_536:  # hand rows on in bounded batches, however many cells an anchor visits
+                    yield pd.DataFrame(out, columns=columns)
+                    out = []
                 q = _matrix([vec], index.dim)[0]
                 order, after = [], -math.inf
                 for bound, c1, c2 in index.cells(q):
@@ -155,12 +160,10 @@ def _visits(anchors: DataFrame, index: Index, budget: int, pieces: dict[tuple[in
                     order.append((c1, c2))
                 for c1, c2 in order:
                     for piece in range(pieces.get((c1, c2), 1)):
-                        out.append((rid, vec_id, label, vec, c1, c2, piece, after))
-            yield pd.DataFrame(out, columns=["a_rid", "anchor_id", "a_label", "a_vec", "c1", "c2", "piece", "after"])
+                        out.append((rid, vec_id, label, c1, c2, piece, after))
+            yield pd.DataFrame(out, columns=columns)
 
-    return anchors.mapInPandas(
-        run, "a_rid long, anchor_id long, a_label int, a_vec array<long>, c1 int, c2 int, piece int, after double"
-    )
+    return anchors.mapInPandas(run, "a_rid long, anchor_id long, a_label int, c1 int, c2 int, piece int, after double")
 
 
 def _id(value) -> int | None:
@@ -244,7 +247,8 @@ def mine(
 
         def asked(extra: list) -> DataFrame:
             """Per block and group of anchors: the anchors that visit it, beside the block's rows."""
-            wanted = visits.groupBy("c1", "c2", "piece", "group").agg(
+            with_vec = visits.join(pending.select("a_rid", "a_vec"), "a_rid")
+            wanted = with_vec.groupBy("c1", "c2", "piece", "group").agg(
                 F.collect_list(F.struct("a_rid", "anchor_id", "a_label", "a_vec", "after", *extra)).alias("anchors")
             )
             return wanted.join(blocks, ["c1", "c2", "piece"]).select("anchors", "rows")
