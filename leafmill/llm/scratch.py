@@ -8,16 +8,23 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_LOCAL: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; a temporary folder only for a local master (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    """spark.checkpoint.dir of the session (or of its context); a temporary folder only for a local master (tests).
+
+    The local folder is kept here rather than set on the session, whose configuration may refuse the key.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-    base = tempfile.mkdtemp(prefix="leafmill-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL:
+        _LOCAL[app] = tempfile.mkdtemp(prefix="leafmill-")
+    return _LOCAL[app]
 
 
 def new_path(spark: SparkSession, name: str) -> str:
