@@ -12,12 +12,25 @@ from leafmill.functions.text import clean_text
 INVALID_TEXT = "Invalid JSON: Could not parse notebook file."
 
 
+# A JSON string, and the value of an output's binary media type (a string or an array of strings). Possessive, so that
+# strings of any length are matched in one linear pass.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_PAYLOAD = r'("(?:image|application|audio|video|font|model)/[^"\\]*+"\s*+:\s*+)(?:' + _STRING + r'|\[\s*+(?:' + _STRING + r'\s*+,?\s*+)*+\])'
+
+
 def notebook_json(text: Column) -> Column:
     """The JSON value that is the whole text, as VARIANT; null when it is none or more follows it.
 
     The parser stops after the first value, so the text is read as the only item of an array. Repeated keys are allowed by
-    the session settings; the last one counts.
+    the session settings; the last one counts. A text that VARIANT cannot hold (a string beyond its limit, as an inline
+    image gives, or a notebook beyond 128 MiB) is parsed again with the payloads of binary media types (image, audio,
+    video, application, ...) emptied by one linear pattern pass: they are never part of the text, and JSON outside
+    strings has no quotes, so the pass cannot mistake a string's inside for a key. Such payloads are then not validated.
     """
+    return F.coalesce(_json(text), _json(F.regexp_replace(text, _PAYLOAD, '$1""')))
+
+
+def _json(text: Column) -> Column:
     return let(
         F.try_parse_json(F.concat(F.lit("["), text, F.lit("\n]"))),
         lambda v: F.when(

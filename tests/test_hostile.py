@@ -183,3 +183,23 @@ def test_guarded_scan_keeps_every_file(spark, tmp_path):
     assert rows["empty.txt"].type == "empty" and rows["a.txt"].text.startswith("alpha") or "alpha" in rows["a.txt"].text
     assert read_guarded(str(tmp_path / "a.txt"), 5) == (6, None, None)  # beyond the limit: no content, no error
     assert read_guarded(str(tmp_path / "a.txt"), 100)[1] == b"alpha words"
+
+
+def test_notebook_beyond_variant_keeps_its_cells(files):
+    """A notebook with a 25-million-character inline image gives its cells; a broken one stays invalid."""
+    import json
+
+    image = ("QUJD" * 19 + "\n") * 330_000
+    cells = [
+        {"cell_type": "markdown", "source": ["# Plot\n", "of data"]},
+        {"cell_type": "code", "source": "plot()", "outputs": [
+            {"output_type": "display_data", "data": {"image/png": image, "text/plain": ["<Figure size 640x480>"]}},
+            {"output_type": "execute_result", "data": {"image/jpeg": [image[:500], image[:700]], "text/plain": "done"}},
+        ]},
+    ]
+    good = json.dumps({"cells": cells, "metadata": {}}).encode()
+    broken = good[:-1]
+    rows = {r.file_name: r for r in parse_corpus(files(("big.ipynb", good), ("broken.ipynb", broken))).select("file_name", "type", "text").collect()}
+    text = rows["big.ipynb"].text
+    assert "# Plot" in text and "plot()" in text and "<Figure size 640x480>" in text and "done" in text and "QUJD" not in text
+    assert "Invalid JSON" in rows["broken.ipynb"].text
