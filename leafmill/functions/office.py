@@ -240,8 +240,22 @@ def _first_corner(xml: Column, grid: Column) -> Column:
     return F.struct(F.least(stated_row, used_row).alias("row"), F.least(stated_col, used_col).alias("col"))
 
 
+# A filled grid of more slots than this cannot be a row's value (each slot takes at least 8 bytes of a 2 GiB row).
+MOST_SLOTS = (1 << 31) // 8
+
+
+def grid_slots(corner: Column, grid: Column) -> Column:
+    """How many slots filling the grid from its corner takes: rows, and cells up to the last of each row."""
+    cells = F.aggregate(
+        grid, F.lit(0).cast("bigint"), lambda acc, r: acc + F.greatest(F.try_element_at(r["cells"], F.lit(-1))["col"] - corner["col"] + 1, F.lit(0))
+    )
+    rows = F.coalesce(F.try_element_at(grid, F.lit(-1))["row"] - corner["row"] + 1, F.lit(0))
+    return cells + rows
+
+
 def _dense(xml: Column, grid: Column) -> Column:
-    """ARRAY<ARRAY<STRING>>: gaps between stored rows and cells filled, one step per stored item."""
+    """ARRAY<ARRAY<STRING>>: gaps between stored rows and cells filled, one step per stored item; null when the filled
+    grid could not be a row's value (counted before anything is filled)."""
 
     def fill(corner: Column) -> Column:
         def values(cells: Column) -> Column:
@@ -257,7 +271,7 @@ def _dense(xml: Column, grid: Column) -> Column:
             gap = F.greatest(r["row"] - before - 1, F.lit(0))
             return F.concat(F.array_repeat(string_array(), gap), F.array(values(r["cells"])))
 
-        return F.flatten(F.transform(grid, lines))
+        return F.when(grid_slots(corner, grid) <= MOST_SLOTS, F.flatten(F.transform(grid, lines)))
 
     return let(_first_corner(xml, grid), fill)
 

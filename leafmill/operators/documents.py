@@ -116,8 +116,17 @@ def delimited_document(raw: Column, delimiter: str, file_name: Column, opts: Par
 # --- containers --------------------------------------------------------------------------------
 
 
+TOO_LARGE_GRID = "a sheet's filled grid is larger than one row can hold"
+
+
 def workbook_document(members: Column, file_name: Column, opts: ParseOptions) -> Column:
-    return _sheets_document(office.workbook_sheets(members), file_name, opts)
+    """The sheets' document; an error document when a sheet's gaps would fill beyond what a row holds."""
+
+    def build(sheets: Column) -> Column:
+        too_large = F.exists(sheets, lambda s: s["rows"].isNull())
+        return F.when(too_large, error_document(F.lit("xlsx"), F.lit(TOO_LARGE_GRID))).otherwise(_sheets_document(sheets, file_name, opts))
+
+    return let(office.workbook_sheets(members), build)
 
 
 def listing_document(kind: str, members: Column, file_name: Column, file_size: Column, opts: ParseOptions) -> Column:

@@ -203,3 +203,13 @@ def test_notebook_beyond_variant_keeps_its_cells(files):
     text = rows["big.ipynb"].text
     assert "# Plot" in text and "plot()" in text and "<Figure size 640x480>" in text and "done" in text and "QUJD" not in text
     assert "Invalid JSON" in rows["broken.ipynb"].text
+
+
+def test_sparse_sheet_is_counted_before_it_is_filled(files):
+    """200,000 rows with one cell in the last column would fill 3.3 billion slots: an error row, not a lost executor."""
+    rows = "".join(f'<row r="{i}"><c r="XFD{i}" t="inlineStr"><is><t>v</t></is></c></row>' for i in range(2, 200_002))
+    sheet = f'<worksheet><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>a</t></is></c></row>{rows}</sheetData></worksheet>'
+    small = '<worksheet><sheetData><row r="1"><c r="A1" t="inlineStr"><is><t>a</t></is></c><c r="C1" t="inlineStr"><is><t>c</t></is></c></row></sheetData></worksheet>'
+    got = {r.file_name: r for r in parse_corpus(files(("wide.xlsx", book(sheet)), ("small.xlsx", book(small)))).select("file_name", "type", "text").collect()}
+    assert got["wide.xlsx"].type == "error" and "larger than one row can hold" in got["wide.xlsx"].text
+    assert got["small.xlsx"].type != "error" and got["small.xlsx"].text.endswith("a c")
