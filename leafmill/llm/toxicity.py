@@ -19,15 +19,18 @@ logistic of its highest string.
 from __future__ import annotations
 
 import math
+import pickle
 import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from leafmill.llm import words
 
@@ -546,17 +549,33 @@ def held_out(doc_id: str = "doc_id", fold: int = 5):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % fold == 0, F.lit(True))
 
 
-def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = 600, most_clean: int = 1200, fold: int = 5) -> Model:
-    """Train on labelled rows outside the held-out fold: at most that many of each label, in order of a hash of the id."""
+def fit(
+    docs: DataFrame, labels: DataFrame, most_toxic: int = 600, most_clean: int = 1200, most_chars: int = 4_000_000, fold: int = 5
+) -> Model:
+    """Train on labelled rows outside the held-out fold: at most that many of each label, in order of a hash of the id,
+    and of each label only as long as its texts add up to at most most_chars characters (longer texts are passed over).
+
+    The sample is trained in one executor task; only the trained model comes back to the driver.
+    """
     known = labels.where(~held_out("doc_id", fold) & F.col("toxic").isNotNull()).select("doc_id", "toxic").distinct()
     parts = [
         known.where(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n) for t, n in ((1, most_toxic), (0, most_clean))
     ]
     # At most most_toxic + most_clean rows.
     sample = F.broadcast(parts[0].unionByName(parts[1]))
-    rows = docs.where("text is not null").select("doc_id", "text").join(sample, "doc_id").toPandas()
-    rows = rows.sort_values(["doc_id", "text"])
-    return train(rows.text[rows.toxic == 1].tolist(), rows.text[rows.toxic == 0].tolist())
+    rows = docs.where("text is not null").select("doc_id", "text").join(sample, "doc_id")
+    running = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id", "text").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_chars", F.sum(F.length("text")).over(running)).where(F.col("_chars") <= most_chars)
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        chunks = list(frames)
+        frame = pd.concat(chunks) if chunks else pd.DataFrame(columns=["doc_id", "text", "toxic"])
+        frame = frame.sort_values(["doc_id", "text"]) if len(frame) else frame
+        model = train(frame.text[frame.toxic == 1].tolist(), frame.text[frame.toxic == 0].tolist())
+        yield pd.DataFrame({"model": [pickle.dumps(model)]})
+
+    trained = rows.select("doc_id", "text", "toxic").repartition(1).mapInPandas(run, "model binary").collect()  # one model
+    return pickle.loads(trained[0].model) if trained else train([], [])
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

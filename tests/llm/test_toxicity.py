@@ -124,3 +124,16 @@ def test_a_few_wrong_labels_change_little():
     model = tox.train(toxic, clean + [bad(3000 + i) for i in range(9)])
     assert sum(predicted(model, [bad(1000 + i) for i in range(60)])) >= 58
     assert sum(predicted(model, [prose(9000 + i, 40, 600) for i in range(60)])) <= 1
+
+
+def test_long_labelled_texts_stay_within_the_character_bound(spark, docs):
+    """Labelled texts of a megabyte: the fit runs in a task and passes over what its character bound leaves out."""
+    rows = [(i, bad(i) if i % 3 == 0 else prose(i, 40, 600)) for i in range(300)]
+    rows += [(1001, prose(7, 200_000, 600)), (1002, (bad(3) + " ") * 20_000)]  # about a megabyte each
+    labels = spark.createDataFrame([(i, 0, int(i % 3 == 0)) for i in range(300)] + [(1001, 0, 0), (1002, 0, 1)], "doc_id long, quality int, toxic int")
+    df = docs(rows)
+    small = tox.fit(df, labels, most_chars=300_000)
+    whole = tox.fit(df, labels)
+    for model in (small, whole):
+        got = tox.score(df, model).withColumn("held", tox.held_out()).where("held AND doc_id < 300").collect()
+        assert np.mean([r.predicted == int(r.doc_id % 3 == 0) for r in got]) > 0.9
