@@ -218,7 +218,10 @@ def _receive(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _doc_key() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id")
+    """doc_id as the key of a row; a null doc_id becomes a key below -2**62 drawn from a hash of the text, so rows with
+    null ids are as many keys as they have distinct texts (ids below -2**62 are taken for that)."""
+    marker = F.lit(_NO_ID) + F.pmod(F.xxhash64(F.col("text")), F.lit(1 << 62))
+    return F.coalesce(F.col("doc_id").cast("long"), marker).alias("doc_id")
 
 
 def candidates(docs: DataFrame, width: int, similar: float) -> DataFrame:
@@ -540,8 +543,8 @@ def join(docs: DataFrame, width: int = WIDTH, similar: float = 0.75) -> DataFram
     known = named.join(comp.withColumnRenamed("node", "rep"), "rep", "left").select(
         "doc_id", "size", "rep", F.coalesce("component", "rep").alias("component")
     )
-    least = known.groupBy("component").agg(F.min(F.when(F.col("doc_id") != _NO_ID, F.col("doc_id"))).alias("component_id"))
-    real = F.when(F.col("doc_id") != _NO_ID, F.col("doc_id"))
+    least = known.groupBy("component").agg(F.min(F.when(F.col("doc_id") >= _NO_ID + (1 << 62), F.col("doc_id"))).alias("component_id"))
+    real = F.when(F.col("doc_id") >= _NO_ID + (1 << 62), F.col("doc_id"))
     out = known.join(least, "component").select(real.alias("doc_id"), F.col("size").cast("long").alias("n_shingles"), "component_id", F.col("rep").alias("set_id"))
     empty = facts.where("size = 0").select(real.alias("doc_id"), F.lit(0).cast("long").alias("n_shingles"), real.alias("component_id"), F.col("id").alias("set_id"))
     return out.unionByName(empty)

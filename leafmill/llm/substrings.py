@@ -64,7 +64,10 @@ class Anchors:
 
 
 def _doc_key() -> Column:
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id")
+    """doc_id as the key of a row; a null doc_id becomes a key below -2**62 drawn from a hash of the text, so rows with
+    null ids are as many keys as they have distinct texts (ids below -2**62 are taken for that)."""
+    marker = F.lit(_NO_ID) + F.pmod(F.xxhash64(F.col("text")), F.lit(1 << 62))
+    return F.coalesce(F.col("doc_id").cast("long"), marker).alias("doc_id")
 
 
 def seeds(docs: DataFrame, length: int = 35) -> DataFrame:

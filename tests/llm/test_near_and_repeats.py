@@ -149,3 +149,16 @@ def test_repeats_at_random(docs):
     got = rows_of(substrings.remove(docs(rows)), "doc_id", "n_words", "n_removed", "kept_sha256")
     assert got == removed(rows, 35)
     assert substrings.remove(docs([])).count() == 0
+
+
+def test_null_ids_are_keyed_by_text(docs):
+    """Rows without ids are as many keys as distinct texts: results as with ids, and no join of all null rows."""
+    passage = prose(9, 60)
+    rows = [(None, prose(100 + i, 20) + " " + passage + " " + prose(200 + i, 20)) for i in range(150)]
+    rows += [(None, prose(300 + i, 80)) for i in range(150)]
+    rows += [(None, None), (None, ""), (None, rows[0][1])]
+    got = rows_of(substrings.remove(docs(rows)), "doc_id", "n_words", "n_removed", "kept_sha256")
+    assert got == removed(rows, 35)
+    check(docs, rows)
+    keyed = docs(rows).select(substrings._doc_key()).distinct().count()
+    assert keyed == len({r[1] for r in rows})
