@@ -65,7 +65,7 @@ def _header_text(c: Column) -> Column:
     ).otherwise(c)
 
 
-def plan_captures(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
+def plan_captures(pages: DataFrame, least_bytes: int = 1000, broadcast_rows: int = 200_000, salt: int = 64) -> DataFrame:
     """Pages with payload (null html: empty), its size and SHA-1, and refers_to for those that are revisits.
 
     Among rows with equal payloads of at least least_bytes, the largest page_id is the response; the others revisit it.
@@ -87,7 +87,14 @@ def plan_captures(pages: DataFrame, least_bytes: int = 1000) -> DataFrame:
         .where("n > 1")
         .select("digest", "bytes", "keeper")
     )
-    joined = rows.join(shared, ["digest", "bytes"], "left")
+    # Payloads never meet on one key: the repeated digests come as a broadcast table when few (counted first), else each
+    # is copied to `salt` keys and the rows are spread over them, so a payload that a third of the rows share is split.
+    if shared.count() <= broadcast_rows:
+        joined = rows.join(F.broadcast(shared), ["digest", "bytes"], "left")
+    else:
+        copies = shared.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
+        spread = rows.withColumn("_salt", F.pmod(F.xxhash64("page_id", "url", "digest"), F.lit(salt)).cast("int"))
+        joined = spread.join(copies, ["digest", "bytes", "_salt"], "left").drop("_salt")
     return joined.withColumn("refers_to", F.when(~F.col("page_id").eqNullSafe(F.col("keeper")), F.col("keeper"))).drop("keeper")
 
 

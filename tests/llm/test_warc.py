@@ -72,3 +72,17 @@ def test_damaged_file_is_reported():
     for cut in (10, len(record) - 5):
         with pytest.raises(ValueError, match="x: the record at byte"):
             list(warc._records("x", pa.py_buffer(record[:cut])))
+
+
+def test_shared_payload_salted_like_broadcast(spark):
+    """A payload that most rows share: the salted join gives the rows of the broadcast one."""
+    from leafmill.llm.warc import plan_captures
+
+    big = "<html>" + "x" * 2000 + "</html>"
+    rows = [(i, f"http://h/{i}", big if i % 4 else f"<p>{i}</p>" * 200) for i in range(60)] + [(None, None, big), (7, "http://h/7", big)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    cols = ["page_id", "url", "bytes", "digest", "refers_to"]
+    plain = sorted(map(tuple, plan_captures(pages).select(*cols).collect()), key=repr)
+    salted = sorted(map(tuple, plan_captures(pages, broadcast_rows=0, salt=3).select(*cols).collect()), key=repr)
+    assert plain == salted
+    assert sum(r[4] == 59 for r in plain) == len([r for r in rows if r[2] == big]) - 1
