@@ -13,7 +13,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registry():
     assert set(QUERIES) | {"pipeline"} <= set(E.queries()) and set(CHECKS) <= set(E.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(CHECKS))
