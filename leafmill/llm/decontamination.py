@@ -157,8 +157,9 @@ def leaks(docs: DataFrame, items: DataFrame, rate: float = 0.1, block_bytes: int
     docs has doc_id and text, items item_id and text; other columns are ignored. Both texts are compared in lower case with
     single spaces; start and end are places in that form. An item of n characters may differ by rate * n edits. The whole
     text is searched. Null and empty texts hold nothing, null and blank items occur nowhere; equal items are all
-    reported; repeated documents give repeated rows. Items go to the tasks in blocks of about block_bytes, each block one
-    pass over the documents, so no benchmark is too large.
+    reported; repeated documents give repeated rows. Items go to the tasks in broadcast blocks of about block_bytes (the
+    size is summed first, so each broadcast is bounded), each block one pass over the documents. All blocks pass through
+    the driver, and a benchmark of many blocks costs as many passes: this suits benchmarks of megabytes, not gigabytes.
     """
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     found = [source.mapInArrow(_search(block, rate), LEAKS) for block in _blocks(items, block_bytes)]
