@@ -30,6 +30,8 @@ WIDTH = 5
 COMMON = 16
 _NO_ID = -(1 << 63)
 _HOT = 1 << 16
+# Keys of a set that tie-pairs carry to leave once: the least ones.
+FIRST_KEYS = 8
 _U = np.uint64
 _BYTES = 4 << 20
 _SKETCH = 16
@@ -432,9 +434,11 @@ def _cross(apart: DataFrame, sketch: DataFrame, similar: float, block: int = 256
     """Pairs of sets in different components that a common key ties and whose sketches allow them to be similar.
 
     The sets outside a key's largest component are the queries, held against all members in blocks; only pairs that pass
-    leave the task; a pair that several keys tie leaves at each, and the repeats meet in one distinct (rows carry ids and
-    sketches only, not the sets' keys). A key with very many members is as many tasks as it has blocks.
+    leave the task, each at the first key that ties it. Rows carry a set's first FIRST_KEYS keys (not all): a pair leaves
+    at the least key its two lists share, or, where they share none, at every key that ties it, and the repeats meet in
+    one distinct. A key with very many members is as many tasks as it has blocks.
     """
+    keys = apart.groupBy("rep").agg(F.slice(F.sort_array(F.collect_set("key")), 1, FIRST_KEYS).alias("keys")).withColumnRenamed("rep", "id")
     x, y = _sides(apart)
     blocks = x.groupBy("key").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     queries = x.join(blocks, "key").select(
@@ -443,29 +447,35 @@ def _cross(apart: DataFrame, sketch: DataFrame, similar: float, block: int = 256
     every = y.join(blocks, "key").select(
         "key", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(1).alias("side"), F.col("y").alias("id"), F.col("cy").alias("c"), F.col("sy").alias("size")
     )
-    rows = queries.unionByName(every).join(sketch.drop("n"), "id")
+    rows = queries.unionByName(every).join(sketch.drop("n").join(keys, "id"), "id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held = None, None
         for batch in batches:
             key, part, side, ids, comp, size = (np.asarray(batch.column(c)) for c in ("key", "block", "side", "id", "c", "size"))
             bits = exchange.flat(batch.column("bits")).view(_U).reshape(-1, _SKETCH)
+            lists = batch.column("keys")
+            cuts, all_keys = np.asarray(lists.offsets) - lists.offsets[0].as_py(), exchange.flat(lists)
+            own = np.empty(len(key), object)
+            own[:] = [all_keys[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
             new = np.append(True, (key[1:] != key[:-1]) | (part[1:] != part[:-1]) | (side[1:] != side[:-1]))
             for lo, hi in zip(np.flatnonzero(new), np.append(np.flatnonzero(new)[1:], len(key)), strict=True):
                 here = (key[lo], part[lo])
-                mine = (ids[lo:hi], comp[lo:hi], size[lo:hi], bits[lo:hi])
+                mine = (ids[lo:hi], comp[lo:hi], size[lo:hi], bits[lo:hi], own[lo:hi])
                 if side[lo] == 0:
                     held = [np.concatenate(z) for z in zip(held, mine, strict=True)] if at == here else mine
                     at = here
                     continue
                 if at != here:
                     continue
-                for i, c, n, b in zip(*held, strict=True):
+                for i, c, n, b, k in zip(*held, strict=True):
                     both = mine[2] + n
                     good = (mine[1] != c) & (np.minimum(mine[2], n) >= similar * np.maximum(mine[2], n) - 1e-9)
                     near = np.flatnonzero(good)
                     differ = np.bitwise_count(mine[3][near] ^ b).sum(axis=1)
                     near = near[differ <= both[near] * ((1 - similar) / (1 + similar)) + 1e-9]
+                    shared = [np.intersect1d(k, o, assume_unique=True) for o in mine[4][near]]
+                    near = near[np.array([len(z) == 0 or z[0] == here[0] for z in shared], bool)]
                     if len(near):
                         other = mine[0][near]
                         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(other, i)), pa.array(np.maximum(other, i))], ["a", "b"])
