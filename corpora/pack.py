@@ -42,7 +42,8 @@ def packed(members: Column, container: str = "zip") -> Column:
     write = zip_bytes if container == "zip" else tar_bytes
 
     def pack(rows: pa.Array) -> pa.Array:
-        return pa.array([write([(m["name"], m["data"]) for m in row]) for row in rows.to_pylist()], pa.binary())
+        # Row by row, so that of a batch only one row is held as Python values.
+        return pa.array((write([(m["name"], m["data"]) for m in row.as_py()]) for row in rows), pa.binary())
 
     pack.__annotations__ = {"rows": pa.Array, "return": pa.Array}
     return F.arrow_udf(pack, returnType="binary")(members)

@@ -2,6 +2,7 @@ import io
 import tarfile
 import zipfile
 
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -63,6 +64,27 @@ def test_readers(monkeypatch):
     assert [g[4] for g in read_container(twice.getvalue(), MemberPlan("zip", (Selection(""),)))] == [b"new"]
 
 
+def test_reader_hands_on_little_at_a_time(monkeypatch):
+    """What a reader holds is bounded by its output size and one container, not by the containers of a task."""
+    taken = []
+
+    class Udf:
+        def __init__(self, function, returnType):
+            taken.append(function)
+
+        def asNondeterministic(self):
+            return lambda *columns: None
+
+    monkeypatch.setattr(member_source.F, "arrow_udf", Udf)
+    member_source.read_members(None, None, {"zip": MemberPlan("zip", (Selection(""),))})
+    one = zip_bytes([("a", b"x" * 500_000)])
+    batches = [(pa.array(["zip"] * 10), pa.array([one] * 9 + [None], pa.binary())) for _ in range(3)]
+    out = list(taken[0](iter(batches)))
+    assert max(a.nbytes for a in out) < 4 << 20
+    got = [None if m is None else len(m[0]["data"]) for a in out for m in a.to_pylist()]
+    assert got == ([500_000] * 9 + [None]) * 3
+
+
 # --- archives ----------------------------------------------------------------------------------
 
 
