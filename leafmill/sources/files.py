@@ -27,6 +27,7 @@ def scan_files(
     keep_empty: bool = False,
     inventory: DataFrame | None = None,
     guarded: bool = False,
+    split_above: int | None = None,
 ) -> DataFrame:
     """files: path, file_name, file_size, content.
 
@@ -43,6 +44,12 @@ def scan_files(
     damaged disk) becomes a row with ``read_error`` instead of ending the job. The scan skips what it cannot read;
     paths of the listing (``inventory``, else the scan's own) that it did not deliver are then opened one by one in
     tasks, and each failure is kept as its message. Empty files come the same way.
+
+    ``split_above``: files of more bytes, of any size, come as a row per line of their bytes instead (not with
+    ``guarded``), so that several tasks share a file and none reads more than a split of the scan; a smaller file stays
+    one row.  A row has its line end, one more than the file if that ends without; the lines of a split come in order
+    and ``start`` is where their split starts.  Reading by lines drops a leading UTF-8 byte order mark.
+    Files under the suffix of a compression, which that reader would inflate, are left whole.
     """
     if guarded:
         return _guarded(spark, path, glob, recursive, inventory)
@@ -53,11 +60,41 @@ def scan_files(
         reader = reader.option("pathGlobFilter", glob)
     scan = reader.load(path)
     most = int(spark.conf.get("spark.sql.sources.binaryFile.maxLength", str((1 << 31) - 1)))
-    found = [scan.filter(F.col("length") <= most), _without_content(scan.filter(F.col("length") > most))]
+    read = scan if split_above is None else scan.filter(~_is_split(split_above))
+    found = [read.filter(F.col("length") <= most), _without_content(read.filter(F.col("length") > most))]
     if keep_empty or inventory is not None:
         empty = _listed_empty(spark, scan) if inventory is None else inventory.filter(F.col("length") == 0)
         found.append(_without_content(empty.withColumn("length", F.lit(0).cast("bigint")), F.lit(b"")))
-    return as_files(reduce(DataFrame.unionByName, found))
+    files = as_files(reduce(DataFrame.unionByName, found))
+    if split_above is None:
+        return files
+    return files.withColumn("start", F.lit(0).cast("bigint")).unionByName(_lines(spark, path, glob, recursive, split_above))
+
+
+# Suffixes whose files Hadoop's line reader inflates.
+_COMPRESSED = r"(?i)\.(?:gz|gzip|bz2|deflate|snappy|lz4|zst|zstd|zlib|lzo|xz|bz|passthrough)$"
+
+
+def _is_split(split_above: int) -> Column:
+    """Over the metadata of a scan's files, so that those it does not want are not opened."""
+    return (F.col("_metadata.file_size") > split_above) & ~F.rlike("_metadata.file_name", F.lit(_COMPRESSED))
+
+
+def _lines(spark: SparkSession, path: str, glob: str | None, recursive: bool, split_above: int) -> DataFrame:
+    """The lines of the files above the limit, as the bytes they are."""
+    reader = spark.read.format("text").option("lineSep", "\n").option("ignoreMissingFiles", "true")
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    where = _plain_path(F.col("_metadata.file_path"))
+    return reader.load(path).filter(_is_split(split_above)).select(
+        where.alias("path"),
+        file_name(where).alias("file_name"),
+        F.col("_metadata.file_size").alias("file_size"),
+        F.concat(F.col("value").cast("binary"), F.lit(b"\n")).alias("content"),
+        F.col("_metadata.file_block_start").alias("start"),
+    )
 
 
 def _guarded(spark: SparkSession, path: str, glob: str | None, recursive: bool, inventory: DataFrame | None) -> DataFrame:
@@ -132,12 +169,16 @@ def _without_content(rows: DataFrame, content: Column | None = None) -> DataFram
     )
 
 
+def _plain_path(uri: Column) -> Column:
+    """Listed names are percent-encoded URIs; the scan gives plain paths."""
+    plain = F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+    return F.regexp_replace(plain, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/")
+
+
 def _listed_empty(spark: SparkSession, scan: DataFrame) -> DataFrame:
     """Paths that the scan has listed but does not deliver, which are those of empty files."""
     uris = spark.createDataFrame([(uri,) for uri in scan.inputFiles()], "uri string")
-    # Listed names are percent-encoded URIs; the scan gives plain paths.
-    plain = F.url_decode(F.replace(F.col("uri"), F.lit("+"), F.lit("%2B")))
-    paths = uris.select(F.regexp_replace(plain, "^([A-Za-z][A-Za-z0-9+.-]*):///", "$1:/").alias("path"))
+    paths = uris.select(_plain_path(F.col("uri")).alias("path"))
     return paths.join(scan.select("path"), "path", "left_anti")
 
 

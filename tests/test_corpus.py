@@ -4,6 +4,7 @@ import os
 import pytest
 
 from corpora.pack import tar_bytes, zip_bytes
+from corpora import queries
 from leafmill import ParseOptions, parse_corpus, scan_files, summarise, write_reports
 from leafmill.operators.paged import PAGES_PER_GROUP, assemble_pages
 from leafmill.operators.routes import read_failures
@@ -177,3 +178,28 @@ def test_spread(spark):
     assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     many = spark.range(0, 100, 1, 64)
     assert spread(many) is many
+
+
+def test_split_scan(spark, tmp_path, monkeypatch):
+    """A file above the limit is shared by tasks, byte for byte; what it holds does not decide how much a task reads."""
+    large = b"P\nA\n\xff\x00\r\n\r" * 400_000
+    (tmp_path / "a b%+.parquet").write_bytes(large)
+    (tmp_path / "small.parquet").write_bytes(b"PAR1\n\nPAR1\n")
+    (tmp_path / "x.parquet.gz").write_bytes(b"no gzip\n" * 500)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(1 << 20))
+    try:
+        rows = scan_files(spark, str(tmp_path), split_above=1000)
+        kept = rows.selectExpr("*", "spark_partition_id() as task", "monotonically_increasing_id() as n").collect()
+        of = lambda name: sorted((r for r in kept if r.file_name == name), key=lambda r: (r.start, r.n))
+        assert b"".join(r.content for r in of("a b%+.parquet"))[:-1] == large
+        assert len({r.task for r in of("a b%+.parquet")}) >= 3
+        assert [bytes(r.content) for r in of("small.parquet")] == [b"PAR1\n\nPAR1\n"]
+        assert [len(r.content) for r in of("x.parquet.gz")] == [4000]
+        plain = {r.path for r in scan_files(spark, str(tmp_path)).select("path").collect()}
+        assert plain == {r.path for r in kept}
+
+        monkeypatch.setattr(queries, "SPLIT_ABOVE", 1000)
+        got = {tuple(r) for r in queries.corpus_scan(spark, str(tmp_path)).collect()}
+        assert got == {("", "500A410A", True), ("small", "50415231", True)}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
