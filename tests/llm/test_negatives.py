@@ -90,3 +90,54 @@ def test_odd_rows(spark):
     got = run(clashing, cells=3, first_budget=1)
     assert got == brute(rows)
     assert run(df.where("vec_id < 0")) == []
+
+
+def test_tables_between_steps(spark, monkeypatch):
+    """No step hands on more rows than the input has, however few cells an anchor can leave out."""
+    rng = np.random.default_rng(11)
+    rows = [(i, [float(x) for x in v / np.linalg.norm(v)], i % 5) for i, v in enumerate(rng.normal(0, 1, (2_000, 32)))]
+    kept, counts = ng.keep, {}
+
+    def counted(df, name):
+        out = kept(df, name)
+        counts[name] = max(counts.get(name, 0), out.count())
+        return out
+
+    monkeypatch.setattr(ng, "keep", counted)
+    assert run(spark.createDataFrame(rows, EMB)) == brute(rows)
+    assert counts and max(counts.values()) <= len(rows), counts
+
+
+@pytest.mark.parametrize("scale", [1.0, 60.0, 2e5])
+def test_number_types(spark, scale):
+    """Scores beyond what float32 or float64 hold exactly, alone and beside small ones."""
+    rng = np.random.default_rng(13)
+    rows = [(i, [float(np.float32(x)) for x in rng.normal(0, 0.3, 8) * (scale if i % 3 else 1.0)], i % 4) for i in range(500)]
+    df = spark.createDataFrame(rows, EMB).repartition(3)
+    assert run(df, piece_rows=32, anchor_rows=4) == brute(rows)
+
+
+def test_common_vector(spark):
+    """One vector in most rows, in several labels and blocks, ids in no order: ties go by vec_id."""
+    rng = np.random.default_rng(17)
+    base = [float(x) for x in rng.normal(0, 0.3, 8)]
+    ids = rng.permutation(900)
+    rows = [(int(i), base if k % 3 else [float(x) * 0.8 for x in base], k % 4) for k, i in enumerate(ids)]
+    rows += [(900 + i, [float(x) for x in rng.normal(0, 0.3, 8)], i % 4) for i in range(200)]
+    df = spark.createDataFrame(rows, EMB).repartition(3)
+    assert run(df, piece_rows=128, anchor_rows=8, first_budget=1) == brute(rows)
+
+
+def test_first():
+    """The first k entries of each slot, by score, vid and rid; empty places last."""
+    rng = np.random.default_rng(19)
+    slot, score = rng.integers(0, 40, 2_000), rng.integers(0, 30, 2_000)
+    score[rng.random(2_000) < 0.2] = ng.NONE
+    vid, rid = rng.integers(0, 9, 2_000), rng.permutation(2_000)
+    vid[score == ng.NONE] = rid[score == ng.NONE] = ng.NO_ID
+    for wide in (1, 1 << 55):
+        s = np.where(score > ng.NONE, score * wide, score)
+        order = ng._first(slot, s, vid, rid, 4)
+        got = list(zip(slot[order], -s[order], vid[order], rid[order]))
+        entries = sorted(zip(slot, -s, vid, rid))
+        assert got == [e for k in range(40) for e in [x for x in entries if x[0] == k][:4]]
